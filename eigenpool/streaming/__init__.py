@@ -1,0 +1 @@
+"""Reserved: every operator of the library is a batch job, so no stream lives here."""
