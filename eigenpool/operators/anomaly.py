@@ -38,7 +38,7 @@ def lof(points: DataFrame, neighbours: int = LOF_NEIGHBOURS, block_rows: int = B
     """
     copies = fold_copies(points)
     k = min(neighbours, copies.n_rows - 1)
-    near = knn_groups(copies, points, k + 1, block_rows)
+    near = knn_groups(copies, points, k + 1, block_rows).persist()
     self_rank = F.min(F.when(F.col("nid") == F.col("gid"), F.col("rank")))
     own = near.groupBy("gid").agg(self_rank.alias("own"))
     others = near.join(own, "gid").where(

@@ -42,15 +42,22 @@ def fix_signs(vectors: np.ndarray) -> np.ndarray:
     return vectors * np.where(vectors[top, np.arange(vectors.shape[1])] < 0, -1.0, 1.0)
 
 
-def gram(df: DataFrame, left: str, right: str) -> np.ndarray:
-    """left^T right over all rows: one small product per task, summed on the cluster."""
+def gram(df: DataFrame, left: str, right: str, minus: np.ndarray | None = None) -> np.ndarray:
+    """left^T right over all rows: one small product per task, summed on the cluster.
+
+    With `minus`, right is first replaced by right - left @ minus, and the product of
+    that with itself is stacked below.
+    """
 
     def part(batches):
         total = None
         for batch in batches:
             if batch.num_rows:
-                p = list_matrix(batch.column("l")).T @ list_matrix(batch.column("r"))
-                total = p if total is None else total + p
+                l, r = list_matrix(batch.column("l")), list_matrix(batch.column("r"))
+                if minus is not None:
+                    r = r - l @ minus
+                    l = np.concatenate([l, r], axis=1)
+                total = l.T @ r if total is None else total + l.T @ r
         if total is not None:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(total.size)), pa.array(total.ravel()), pa.array(np.full(total.size, total.shape[0]))],
@@ -60,27 +67,25 @@ def gram(df: DataFrame, left: str, right: str) -> np.ndarray:
     sums = (
         df.select(F.col(left).alias("l"), F.col(right).alias("r"))
         .mapInArrow(part, "pos bigint, v double, n bigint")
-        .groupBy("pos").agg(F.sum("v").alias("v"), F.max("n").alias("n")).orderBy("pos").collect()
+        .groupBy("pos").agg(F.sum("v").alias("v"), F.max("n").alias("n")).collect()
     )
-    return np.array([r["v"] for r in sums]).reshape(sums[0]["n"], -1)
+    out = np.zeros(len(sums))
+    for row in sums:
+        out[row["pos"]] = row["v"]
+    return out.reshape(sums[0]["n"], -1)
 
 
-def _apply(df: DataFrame, column: str, weights: np.ndarray, out: str, minus: str | None = None) -> DataFrame:
-    """out = (minus -) column @ weights, row by row in Arrow batches."""
-    keep = [c for c in df.columns if c != out]
-    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+def _map_arrays(df: DataFrame, keep: list[str], made: dict[str, Callable]) -> DataFrame:
+    """Kept columns plus array columns computed from a batch's matrices."""
+    kinds = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"`{c}` array<double>" for c in made]
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            value = list_matrix(batch.column(column)) @ weights
-            if minus:
-                value = list_matrix(batch.column(minus)) - value
-            cols = [batch.column(c) for c in keep] + [list_array(value)]
-            yield pa.RecordBatch.from_arrays(cols, [*keep, out])
+            if batch.num_rows:
+                cols = [batch.column(c) for c in keep] + [list_array(fn(batch)) for fn in made.values()]
+                yield pa.RecordBatch.from_arrays(cols, [*keep, *made])
 
-    return df.mapInArrow(run, f"{kinds}, `{out}` array<double>")
+    return df.mapInArrow(run, ", ".join(kinds))
 
 
 def _orthonormal(g: np.ndarray) -> np.ndarray:
@@ -91,55 +96,66 @@ def _orthonormal(g: np.ndarray) -> np.ndarray:
 
 
 def block_lanczos(
-    matvec: Callable[[DataFrame], DataFrame], start: DataFrame, k: int, n: int,
-    passes: int = 40, tol: float = 1e-9, guard: int = 3,
+    matvec: Callable[[DataFrame, int], DataFrame], start: DataFrame, k: int, n: int,
+    passes: int = 30, tol: float = 1e-8, guard: int = 3,
 ) -> tuple[DataFrame, list[float], float]:
-    """Largest eigenpairs of a symmetric operator given as matvec((key, v)) -> (key, z).
+    """Largest eigenpairs of a symmetric operator given as matvec((key, v), width) -> (key, z).
 
-    Each pass costs one product with the operator; the new block is orthogonalised
-    twice against the whole basis, and the small projected matrix is solved on the
-    driver. The basis is checkpointed, so a lost executor never replays all passes.
+    Each pass costs one product with the operator and one written table; the new block
+    is orthogonalised twice against the whole basis, and the small projected matrix is
+    solved on the driver. A lost executor never replays earlier passes.
     """
     width = min(k + guard, n)
     seeds = F.array(*[
         (F.pmod(F.xxhash64(F.lit(j), "key"), F.lit(1 << 20)) / float(1 << 19)) - 1.0 for j in range(width)
     ])
-    basis = start.select("key", seeds.alias("v"))
-    basis = _apply(basis, "v", _orthonormal(gram(basis, "v", "v")), "v")
-    basis = basis.withColumn("basis", F.col("v"))
-    projected, residual = np.zeros((0, 0)), np.inf
+    drawn = start.select("key", seeds.alias("v"))
+    first = _orthonormal(gram(drawn, "v", "v"))
+    make = lambda batch: list_matrix(batch.column("v")) @ first
+    basis = _map_arrays(drawn, ["key"], {"v": make, "basis": make})
+    fresh, size = first.shape[1], first.shape[1]
+    projected = np.zeros((0, 0))
     for _ in range(passes):
-        basis = cut_lineage(basis)
-        z = matvec(basis.select("key", "v"))
-        work = cut_lineage(basis.join(z, "key"))
+        z = matvec(basis.select("key", "v"), fresh)
+        work = cut_lineage(basis.select("key", "basis").join(z, "key"), "basis")
         h = gram(work, "basis", "z")
-        size, fresh = h.shape
+        again = gram(work, "basis", "z", minus=h)
+        fix, rest = again[:size], again[size:] - again[:size].T @ again[:size]
         grown = np.zeros((size, size))
         grown[: len(projected), : len(projected)] = projected
         grown[:, size - fresh:] = h
         grown[size - fresh:, :] = h.T
         projected = (grown + grown.T) / 2
-        work = _apply(work, "basis", h, "z", minus="z")
-        work = cut_lineage(_apply(work, "basis", gram(work, "basis", "z"), "z", minus="z"))
-        rest = gram(work, "z", "z")
         values, ritz = np.linalg.eigh(projected)
         values, ritz = values[::-1][:k], ritz[:, ::-1][:, :k]
         last = ritz[size - fresh:, :]
         residual = float(np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", last, rest, last), 0.0)).max())
-        full = size >= n
-        if len(values) == k and (residual < tol or full):
+        if len(values) == k and (residual < tol or size >= n):
             break
-        turn = _orthonormal(rest)
+        turn = _orthonormal((rest + rest.T) / 2)
+        turn = turn[:, -min(turn.shape[1], n - size):]
         if turn.shape[1] == 0:
             break
-        turn = turn[:, -min(turn.shape[1], n - size):]
-        basis = _apply(work.drop("v"), "z", turn, "v").select(
-            "key", "v", F.concat("basis", "v").alias("basis")
-        )
-    vectors = _apply(work.select("key", "basis"), "basis", ritz, "y").select("key", "y")
+        basis = _extended(work, h + fix, turn)
+        fresh = turn.shape[1]
+        size += fresh
+    top = ritz
+    vectors = _map_arrays(work, ["key"], {"y": lambda batch: list_matrix(batch.column("basis")) @ top})
     return vectors, [float(v) for v in values], residual
 
 
+def _extended(work: DataFrame, overlap: np.ndarray, turn: np.ndarray) -> DataFrame:
+    """(key, v, basis): the orthonormal new block, and the basis with it appended."""
+
+    def block(batch):
+        return (list_matrix(batch.column("z")) - list_matrix(batch.column("basis")) @ overlap) @ turn
+
+    def whole(batch):
+        return np.concatenate([list_matrix(batch.column("basis")), block(batch)], axis=1)
+
+    return _map_arrays(work, ["key"], {"v": block, "basis": whole})
+
+
 def _positive(vectors: DataFrame, k: int) -> DataFrame:
     """Largest-magnitude entry of every column positive (ties to the smaller key)."""
     best = vectors.agg(*[
@@ -170,7 +186,7 @@ def _one_tile(copies: Copies, blocks: Blocks, sigma: float, k: int) -> Eigen:
 
 
 def top_eigen(
-    copies: Copies, sigma: float, k: int, block_rows: int = BLOCK_ROWS, passes: int = 40, tol: float = 1e-9
+    copies: Copies, sigma: float, k: int, block_rows: int = BLOCK_ROWS, passes: int = 30, tol: float = 1e-8
 ) -> Eigen:
     """k largest eigenpairs of M = D^-1/2 W D^-1/2 for the full Gaussian affinity W.
 
@@ -188,7 +204,7 @@ def top_eigen(
         blocks.rows.join(degrees, "gid").withColumn("s", F.sqrt(F.col("m") / F.col("degree")))
     )
 
-    def matvec(v: DataFrame) -> DataFrame:
+    def matvec(v: DataFrame, size: int) -> DataFrame:
         rows = scaled.select("gid", "f", "s", "block").join(v.withColumnRenamed("key", "gid"), "gid")
         current = Blocks(rows, blocks.pivots, blocks.pivot_of, blocks.radius)
 
@@ -200,7 +216,7 @@ def top_eigen(
                 parts.append(b["s"][:, None] * (w.T @ (a["s"][:, None] * a["v"])))
             return {"key": np.concatenate(ids), "p": list_array(np.concatenate(parts))}
 
-        return sum_vectors(run_tiles(current, plan, tile, "key bigint, p array<double>"))
+        return sum_vectors(run_tiles(current, plan, tile, "key bigint, p array<double>"), size)
 
     start = scaled.select(F.col("gid").alias("key"))
     vectors, values, residual = block_lanczos(matvec, start, k, copies.n_groups, passes, tol)
@@ -212,32 +228,52 @@ def top_eigen(
     return Eigen(signed.withColumnRenamed("key", "gid"), values, residual)
 
 
-def sum_vectors(parts: DataFrame) -> DataFrame:
-    """Element-wise sum of p per key: (key, z)."""
-    cells = parts.select("key", F.posexplode("p").alias("pos", "v"))
-    sums = cells.groupBy("key", "pos").agg(F.sum("v").alias("v"))
-    return (
-        sums.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("c"))
-        .select("key", F.transform("c", lambda c: c["v"]).alias("z"))
+def sum_vectors(parts: DataFrame, size: int) -> DataFrame:
+    """Element-wise sum per key of p, an array of a known size: (key, z)."""
+    sums = parts.groupBy("key").agg(*[F.sum(F.col("p")[j]).alias(f"s{j}") for j in range(size)])
+    return sums.select("key", F.array(*[F.col(f"s{j}") for j in range(size)]).alias("z"))
+
+
+def _dense_entries(m: DataFrame, k: int) -> tuple[DataFrame, list[float], float]:
+    """The table fits one block: solve it as a dense matrix in one task."""
+
+    def solve(table: pa.Table) -> pa.Table:
+        keys, place = np.unique(table.column("i").to_numpy(), return_inverse=True)
+        other = np.searchsorted(keys, table.column("j").to_numpy())
+        dense = np.zeros((len(keys), len(keys)))
+        dense[place, other] = table.column("m").to_numpy()
+        values, vectors = np.linalg.eigh(dense)
+        top = fix_signs(vectors[:, ::-1][:, :k])
+        lam = np.tile(values[::-1][:k], (len(keys), 1))
+        return pa.table({"key": keys, "y": list_array(top), "lam": list_array(lam)})
+
+    solved = (
+        m.select("i", "j", "m", F.lit(0).alias("g")).groupBy("g")
+        .applyInArrow(solve, "key bigint, y array<double>, lam array<double>").persist()
     )
+    return solved.select("key", "y"), list(solved.select("lam").first()["lam"]), 0.0
 
 
-def entries_eigen(m: DataFrame, n: int, k: int, passes: int = 60, tol: float = 1e-9) -> tuple[DataFrame, list[float], float]:
+def entries_eigen(
+    m: DataFrame, n: int, k: int, block_rows: int = BLOCK_ROWS, passes: int = 40, tol: float = 1e-6
+) -> tuple[DataFrame, list[float], float]:
     """Largest eigenpairs of a sparse symmetric table (i, j, m).
 
     A sparse neighbour graph may have negative eigenvalues, so (M + I)/2 is solved: same
     vectors, values in [0, 1], shifted back on return.
     """
-    def matvec(v: DataFrame) -> DataFrame:
+    k = min(k, n)
+    if n <= block_rows:
+        return _dense_entries(m, k)
+
+    def matvec(v: DataFrame, size: int) -> DataFrame:
         products = m.join(v.withColumnRenamed("key", "j"), "j").select(
             F.col("i").alias("key"), F.transform("v", lambda x: x * F.col("m")).alias("p")
         )
-        z = sum_vectors(products)
-        return z.join(v, "key").select(
-            "key", F.zip_with("z", "v", lambda a, b: (a + b) * 0.5).alias("z")
-        )
+        z = sum_vectors(products, size)
+        return z.join(v, "key").select("key", F.zip_with("z", "v", lambda a, b: (a + b) * 0.5).alias("z"))
 
     start = m.select(F.col("i").alias("key")).distinct()
-    vectors, values, residual = block_lanczos(matvec, start, min(k, n), n, passes, tol)
+    vectors, values, residual = block_lanczos(matvec, start, k, n, passes, tol)
     signed = _positive(cut_lineage(vectors), len(values))
     return signed, [2.0 * v - 1.0 for v in values], residual

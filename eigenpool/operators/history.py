@@ -86,10 +86,6 @@ def cluster_count(rows: DataFrame, by: str, label: str = "cluster") -> DataFrame
     return rows.groupBy(by).agg(F.countDistinct(F.when(F.col(label) != -1, F.col(label))).alias("n_clusters"))
 
 
-def _setting(name: str, default: str) -> Column:
-    return F.coalesce(F.col("config")[name], F.lit(default))
-
-
 def _config_text(name: str, default: str) -> Column:
     """Absent keys show the default, keys present without a value show None."""
     present = F.map_contains_key("config", name)
@@ -106,11 +102,10 @@ def run_summary(runs: DataFrame) -> DataFrame:
     score = F.when(F.size(F.map_keys("metrics")) > 0, F.concat(
         F.lit("  Silhouette: "), F.coalesce(F.format_string("%.4f", silhouette), F.lit("N/A")), F.lit("\n")
     )).otherwise(F.lit(""))
-    shown = F.when(silhouette.isNull(), score).otherwise(score)
     text = F.concat(
         F.lit("Run #"), F.col("id").cast("string"), F.lit(" @ "), _seconds(F.col("ts")), F.lit("\n  k="),
         _config_text("k", "?"), F.lit(", σ="), _config_text("sigma", "?"), F.lit(", ε="), _config_text("epsilon", "None"),
-        F.lit("\n  Backend: "), _config_text("backend", "mock"), F.lit("\n"), shown,
+        F.lit("\n  Backend: "), _config_text("backend", "mock"), F.lit("\n"), score,
     )
     return runs.select("id", text.alias("summary"))
 

@@ -257,18 +257,18 @@ def recommendations(facts: DataFrame) -> DataFrame:
         return F.format_string(text, *args) if args else F.lit(text)
 
     # Rule limits and wording.
-    rate = F.col("outlier_percentage")
+    rate, shown = F.col("outlier_percentage"), F.bround("outlier_percentage", 1)
     rules = F.array(
         F.when(F.col("hopkins") > 0.7, rule("success", say(
             "Data shows strong natural clustering tendency. Spectral clustering should work well!")))
         .when(F.col("hopkins") < 0.5, rule("warning", say(
             "Low cluster tendency detected. Consider if clustering is appropriate for this data."))),
         F.when(rate > 10, rule("warning", say(
-            "High outlier rate (%.1f%%). Consider enabling Anomaly-Aware mode.", rate)))
-        .when(rate > 5, rule("info", say("%.1f%% outliers detected. Results may be affected.", rate))),
+            "High outlier rate (%.1f%%). Consider enabling Anomaly-Aware mode.", shown)))
+        .when(rate > 5, rule("info", say("%.1f%% outliers detected. Results may be affected.", shown))),
         F.when(F.col("high_pairs") > 0, rule("info", say(
             "%d highly correlated feature pair(s) found. Consider PCA preprocessing.", F.col("high_pairs")))),
-        rule("tip", say("Suggested Gaussian sigma based on data density: %.2f", F.coalesce("suggested_sigma", F.lit(1.0)))),
+        rule("tip", say("Suggested Gaussian sigma based on data density: %.2f", F.bround(F.coalesce("suggested_sigma", F.lit(1.0)), 2))),
         F.when(F.col("n_samples") < 30, rule("warning", say(
             "Small sample size. Clustering results may be unstable.")))
         .when(F.col("n_samples") > 500, rule("info", say(

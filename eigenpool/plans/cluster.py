@@ -17,6 +17,7 @@ from eigenpool.operators.matrix import degree_scale, laplace_noise, row_normaliz
 from eigenpool.operators.pairs import kernel, knn_groups
 from eigenpool.operators.quality import quality
 from eigenpool.operators.tiles import BLOCK_ROWS, Copies, fold_copies, list_matrix, sq_distances
+from eigenpool.session import cut_lineage
 
 MODES = ("exact", "nystrom", "knn")
 
@@ -71,8 +72,8 @@ def knn_embedding(points: DataFrame, k: int, sigma: float, neighbours: int = 10,
         F.greatest(F.sum(F.col("w") * F.col("mj")), F.lit(1e-9)).alias("degree"), F.count(F.lit(1)).alias("n")
     )
     weighted = degree_scale(w, degrees, -0.5).withColumn("m", F.col("m") * F.sqrt(F.col("mi") * F.col("mj")))
-    m = weighted.select("i", "j", "m").persist()
-    vectors, values, residual = entries_eigen(m, copies.n_groups, k)
+    m = cut_lineage(weighted.select("i", "j", "m"), "graph")
+    vectors, values, residual = entries_eigen(m, copies.n_groups, k, block_rows)
     vectors = (
         vectors.join(copies.groups.select(F.col("gid").alias("key"), F.col("m").alias("copies")), "key")
         .select(F.col("key").alias("gid"), F.transform("y", lambda v: v / F.sqrt("copies")).alias("y"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from eigenpool.operators.prepare import NO_NUMERIC
 # Texts read as missing.
 MISSING = ["", "#N/A", "#NA", "N/A", "NA", "NULL", "NaN", "None", "nan", "n/a", "null", "<NA>"]
 
+HEADER_READS = 16
+
 
 @dataclass(frozen=True)
 class OwnerTables:
@@ -46,7 +50,7 @@ def _scan(spark: SparkSession, paths: dict[str, str], columns: list[str]) -> Dat
         F.when(~F.trim(F.col(f"`{c}`")).isin(MISSING), F.trim(F.col(f"`{c}`"))).alias(c) for c in columns
     ]
     parent = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    folder = F.when(parent.startswith("owner="), F.url_decode(F.substring(parent, 7, 1_000_000)))
+    folder = F.when(parent.startswith("owner="), F.url_decode(F.url_decode(F.substring(parent, 7, 1_000_000))))
     owner = F.coalesce(folder, F.url_decode(F.col("_metadata.file_name")))
     return files.select(
         owner.alias("owner"), F.monotonically_increasing_id().alias("id"),
@@ -63,10 +67,11 @@ def read_owner_csvs(spark: SparkSession, paths: Sequence[str]) -> OwnerTables:
     """
     by_header: dict[tuple[str, ...], dict[str, str]] = {}
     failed: list[tuple[str, bool, str]] = []
-    for path in paths:
+    with ThreadPoolExecutor(HEADER_READS) as pool:
+        headers = list(pool.map(lambda path: _header(spark, path), paths))
+    for path, (columns, error) in zip(paths, headers):
         base = os.path.basename(path.rstrip("/"))
-        owner = base[len("owner="):] if base.startswith("owner=") else base
-        columns, error = _header(spark, path)
+        owner = unquote(base[len("owner="):]) if base.startswith("owner=") else base
         if error:
             failed.append((owner, False, error))
         else:
@@ -125,6 +130,14 @@ def write_owner_csvs(df: DataFrame, path: str) -> None:
     df.write.partitionBy("owner").option("header", True).csv(path)
 
 
+def owner_folders(spark: SparkSession, path: str) -> list[str]:
+    """The entries of a folder of owner tables, on any file system Spark can reach."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    names = [f.getPath().getName() for f in files]
+    return [f"{path}/{n}" for n in sorted(names) if not n.startswith(("_", "."))]
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """First n rows per owner with the owner's row count and the number of columns."""
     shape = df.groupBy("owner").agg(F.count(F.lit(1)).alias("n_rows"))
