@@ -14,7 +14,7 @@ from eigenpool.functions.vectors import width
 from eigenpool.operators.joins import first_per_group, join_groups
 from eigenpool.operators.pairs import knn_groups
 from eigenpool.operators.quantiles import exact_quantiles
-from eigenpool.operators.tiles import BLOCK_ROWS, fold_copies, list_matrix
+from eigenpool.operators.tiles import fold_copies, list_matrix
 
 # Neighbours of the local factor, trees and rows per tree of the forest,
 # and the limits of the contamination share.
@@ -30,7 +30,7 @@ def clamp_contamination(share: float) -> float:
     return min(max(share, LEAST_SHARE), MOST_SHARE)
 
 
-def lof(points: DataFrame, neighbours: int = LOF_NEIGHBOURS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def lof(points: DataFrame, neighbours: int = LOF_NEIGHBOURS, block_rows: int | None = None) -> DataFrame:
     """(id, severity): local outlier factor with min(neighbours, n-1) neighbours.
 
     Copies of a row have the same neighbour distances (each leaves one copy, itself,

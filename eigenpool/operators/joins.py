@@ -4,31 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_ROWS = 100_000
+from eigenpool.session import cut_lineage
+
+BROADCAST_BYTES = 64 << 20
 HOT_GROUPS = 1_000
 HOT_ROWS = 10_000
 
 
+def _row_bytes(groups: DataFrame):
+    """Estimated bytes per row: fixed fields, plus the longest array or text seen."""
+    total = F.lit(16)
+    for field in groups.schema.fields:
+        if isinstance(field.dataType, (T.ArrayType, T.MapType)):
+            total = total + F.coalesce(F.max(F.size(F.col(f"`{field.name}`"))), F.lit(0)) * 32
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.max(F.octet_length(F.col(f"`{field.name}`"))), F.lit(0)) + 16
+        else:
+            total = total + 16
+    return total
+
+
 def join_groups(
     rows: DataFrame,
     groups: DataFrame,
     keys: list[str],
     weight: str,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Inner join of rows to their group's values; `weight` is the rows per group.
 
-    The group side is measured first. Few groups: broadcast. Many: a shuffle join, in
+    The group side is measured first. Small enough: broadcast. Otherwise a shuffle join, in
     which the hot groups (more rows than a fixed share of all, so their number is
     bounded) go by broadcast and never meet in one task.
     """
     groups = groups.persist()
     size = groups.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(weight).alias("rows"), F.max(weight).alias("top")
+        F.count(F.lit(1)).alias("n"), F.sum(weight).alias("rows"), F.max(weight).alias("top"),
+        _row_bytes(groups).alias("width"),
     ).first()
-    if size["n"] <= broadcast_rows:
+    if size["n"] * size["width"] <= broadcast_bytes:
         return rows.join(F.broadcast(groups), keys)
     hot_limit = max(hot_rows, (size["rows"] or 0) // HOT_GROUPS)
     if size["top"] <= hot_limit:
@@ -46,8 +63,6 @@ def with_position(df: DataFrame, order: list[str], name: str = "pos") -> DataFra
     Rows are range-partitioned and sorted; the partition sizes (one number per
     partition) give each partition its offset.
     """
-    from eigenpool.session import cut_lineage
-
     part, local = f"__{name}_part", f"__{name}_local"
     ranged = cut_lineage(
         df.repartitionByRange(*order)

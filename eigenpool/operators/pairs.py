@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eigenpool.functions.vectors import sq_distance
+from eigenpool.functions.vectors import sq_distance, width
 from eigenpool.operators.joins import first_per_group
 from eigenpool.operators.tiles import (
     BLOCK_ROWS, DIRECT_WIDTH, Blocks, Copies, build_blocks, fold_copies, own_tiles, run_tiles,
@@ -18,6 +18,12 @@ from eigenpool.operators.tiles import (
 )
 
 EPS = float(np.finfo(float).eps)
+NARROW_WIDTH, NARROW_BLOCK_ROWS = 8, 512
+
+
+def neighbour_block_rows(points: DataFrame, n: int) -> int:
+    """Few features prune well, so small blocks save work; many do not, so large ones save copies."""
+    return NARROW_BLOCK_ROWS if n > BLOCK_ROWS and width(points) <= NARROW_WIDTH else BLOCK_ROWS
 
 
 def pair_distances(points: DataFrame, radius: float = math.inf, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -209,7 +215,7 @@ def _expanded(side):
     return ids.flatten().to_numpy(), np.repeat(np.arange(len(side)), counts)
 
 
-def knn_groups(copies: Copies, points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def knn_groups(copies: Copies, points: DataFrame, k: int, block_rows: int | None = None) -> DataFrame:
     """Exact Euclidean neighbours of every folded row: (gid, rank, id, nid, d), rank 1..k.
 
     `id` is the neighbour's row, `nid` its folded row; ties go to the smaller id, and a
@@ -227,7 +233,7 @@ def knn_groups(copies: Copies, points: DataFrame, k: int, block_rows: int = BLOC
         )
         groups = copies.groups.join(least, "f")
     base = groups.select("gid", F.col("f").alias("f", metadata=copies.groups.schema["f"].metadata), "ids")
-    blocks = build_blocks(base, copies.n_groups, block_rows=block_rows)
+    blocks = build_blocks(base, copies.n_groups, block_rows=block_rows or neighbour_block_rows(points, copies.n_groups))
 
     def tile(a, b, same):
         ids, own = _expanded(b)
@@ -255,7 +261,7 @@ def knn_groups(copies: Copies, points: DataFrame, k: int, block_rows: int = BLOC
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def knn_join(points: DataFrame, k: int, include_self: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def knn_join(points: DataFrame, k: int, include_self: bool = False, block_rows: int | None = None) -> DataFrame:
     """(id, rank, nid, d): the k nearest rows of every row, ties to the smaller id.
 
     The list of a group of copies is computed once and handed to each copy, which

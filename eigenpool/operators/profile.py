@@ -19,7 +19,7 @@ from eigenpool.functions.vectors import width
 from eigenpool.operators.joins import first_per_group, join_groups
 from eigenpool.operators.pairs import knn_groups, pair_distances
 from eigenpool.operators.quantiles import exact_quantiles
-from eigenpool.operators.tiles import BLOCK_ROWS, fold_copies, list_matrix, sq_distances
+from eigenpool.operators.tiles import fold_copies, list_matrix, sq_distances
 
 # Limits and sample sizes of the profile.
 Z_LIMIT, IQR_FACTOR, LISTED = 3.0, 1.5, 20
@@ -148,18 +148,17 @@ def pca_variance(points: DataFrame) -> DataFrame:
     """
     d = width(points)
     model = PCA(k=d, inputCol="v", outputCol="p").fit(points.select(array_to_vector("f").alias("v")))
-    rows = [(i, float(v)) for i, v in enumerate(model.explainedVariance.toArray())]
-    table = points.sparkSession.createDataFrame(rows, "component int, ratio double")
-    return cumulative_share(table, "component", "ratio")
+    ratios = model.explainedVariance.toArray()
+    running = np.cumsum(ratios)
+    reached = int(np.argmax(running >= VARIANCE_SHARE)) + 1
+    rows = [(i, float(v), float(c), reached) for i, (v, c) in enumerate(zip(ratios, running))]
+    return points.sparkSession.createDataFrame(rows, "component int, ratio double, running double, n_components int")
 
 
-def cumulative_share(table: DataFrame, order: str, value: str, share: float = VARIANCE_SHARE) -> DataFrame:
-    """Running sum over a short ranked table, and how many entries reach the share."""
-    w = Window.partitionBy(F.lit(0)).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(F.lit(0))
-    running = table.withColumn("running", F.sum(value).over(w)).withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(order)))
-    first = F.min(F.when(F.col("running") >= share, F.col("place"))).over(whole)
-    return running.withColumn("n_components", F.coalesce(first, F.lit(1))).drop("place")
+def cumulative_share(table: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
+    """Adds `running`: the running sum per group of a short ranked table."""
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return table.withColumn("running", F.sum(value).over(w))
 
 
 def _two_nearest(probes: np.ndarray):
@@ -211,13 +210,13 @@ def hopkins(points: DataFrame, seed=None) -> DataFrame:
     )
 
 
-def k_distances(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def k_distances(points: DataFrame, block_rows: int | None = None) -> DataFrame:
     """(id, kd): distance to the k-th neighbour, the row itself counted; k = min(5, n-1)."""
     groups = _group_k_distances(points, block_rows)
     return join_groups(points.select("id", "f"), groups.select("f", "m", "kd"), ["f"], "m").select("id", "kd")
 
 
-def _group_k_distances(points: DataFrame, block_rows: int) -> DataFrame:
+def _group_k_distances(points: DataFrame, block_rows: int | None) -> DataFrame:
     copies = fold_copies(points)
     k = min(DENSITY_NEIGHBOURS, copies.n_rows - 1)
     near = knn_groups(copies, points, k, block_rows)
@@ -232,7 +231,7 @@ def suggested_sigma(points: DataFrame) -> DataFrame:
     return gaps.agg(F.percentile("d", F.lit(0.5)).alias("suggested_sigma"))
 
 
-def density(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def density(points: DataFrame, block_rows: int | None = None) -> DataFrame:
     """One row (avg_neighbor_distance, density_variation, density_interpretation)."""
     groups = _group_k_distances(points, block_rows).persist()
     mean = groups.agg((F.sum(F.col("m") * F.col("kd")) / F.sum("m")).alias("v")).first()["v"]
@@ -295,7 +294,7 @@ class Profile:
     recommendations: DataFrame
 
 
-def profile(points: DataFrame, seed=None, block_rows: int = BLOCK_ROWS) -> Profile:
+def profile(points: DataFrame, seed=None, block_rows: int | None = None) -> Profile:
     """Every analysis over one cached copy of the points, and the advice drawn from them."""
     points = points.persist()
     flags = outlier_flags(points)

@@ -243,8 +243,9 @@ def tune_k(points: DataFrame, max_k: int = 10, seed: int = 42, block_rows: int =
     scored = _silhouette_groups(
         Copies(labelled, ["f"], copies.n_rows, copies.n_groups, copies.top), len(ks), block_rows
     )
-    means = scored.groupBy("t").agg((F.sum(F.col("s") * F.col("m")) / F.sum("m")).alias("silhouette"))
-    costs = points.sparkSession.createDataFrame([(i, k, cost[k]) for i, k in enumerate(ks)], "t bigint, k int, distortion double")
-    table = costs.join(means, "t").select("k", "distortion", "silhouette")
-    best = table.agg(F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("k")).first()["k"]
-    return table.withColumn("best", F.col("k") == F.lit(best))
+    means = scored.groupBy("t").agg((F.sum(F.col("s") * F.col("m")) / F.sum("m")).alias("v")).collect()
+    found = {row["t"]: row["v"] for row in means}
+    scores = [found.get(i) for i in range(len(ks))]
+    best = max(range(len(ks)), key=lambda i: (-np.inf if scores[i] is None else scores[i], -i))
+    rows = [(k, float(cost[k]), scores[i], i == best) for i, k in enumerate(ks)]
+    return points.sparkSession.createDataFrame(rows, "k int, distortion double, silhouette double, best boolean")

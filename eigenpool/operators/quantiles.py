@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DIRECT_ROWS = 1_000_000
+LISTED_ROWS = 100_000
 
 
 def _rank_values(df: DataFrame, column: str, ranks: list[int], n: int, direct: int) -> dict[int, float]:
@@ -76,7 +77,7 @@ def exact_quantiles(
             continue
         places = [share * (n - 1) for share in shares]
         ranks = sorted({r for p in places for r in (math.floor(p), math.ceil(p))})
-        values = _rank_values(clean, c, ranks, n, direct)
+        values = _rank_values(clean, c, ranks, n, min(direct, LISTED_ROWS))
         out[c] = [
             values[math.floor(p)] + (values[math.ceil(p)] - values[math.floor(p)]) * (p - math.floor(p)) for p in places
         ]

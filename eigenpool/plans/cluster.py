@@ -54,14 +54,14 @@ def exact_embedding(points: DataFrame, k: int, sigma: float, block_rows: int = B
     return Embedding(_to_rows(points, copies, solved.vectors), solved.values, solved.residual)
 
 
-def knn_embedding(points: DataFrame, k: int, sigma: float, neighbours: int = 10, block_rows: int = BLOCK_ROWS) -> Embedding:
+def knn_embedding(points: DataFrame, k: int, sigma: float, neighbours: int = 10, block_rows: int = BLOCK_ROWS, tol: float = 1e-4) -> Embedding:
     """Gaussian weights on the symmetrised graph of nearest distinct rows; linear storage."""
     copies = fold_copies(points)
     distinct = copies.groups.select(F.col("gid").alias("id"), F.col("f").alias("f", metadata=points.schema["f"].metadata))
     apart = Copies(
         copies.groups.withColumn("m", F.lit(1).cast("bigint")), copies.keys, copies.n_groups, copies.n_groups, 1
     )
-    near = knn_groups(apart, distinct, min(neighbours + 1, copies.n_groups), block_rows)
+    near = knn_groups(apart, distinct, min(neighbours + 1, copies.n_groups))
     arcs = near.select(F.col("gid").alias("i"), F.col("nid").alias("j"), "d")
     both = arcs.unionByName(arcs.select(F.col("j").alias("i"), F.col("i").alias("j"), "d"))
     scale = -1.0 / (2.0 * sigma * sigma)
@@ -73,7 +73,7 @@ def knn_embedding(points: DataFrame, k: int, sigma: float, neighbours: int = 10,
     )
     weighted = degree_scale(w, degrees, -0.5).withColumn("m", F.col("m") * F.sqrt(F.col("mi") * F.col("mj")))
     m = cut_lineage(weighted.select("i", "j", "m"), "graph")
-    vectors, values, residual = entries_eigen(m, copies.n_groups, k, block_rows)
+    vectors, values, residual = entries_eigen(m, copies.n_groups, k, block_rows, tol=tol)
     vectors = (
         vectors.join(copies.groups.select(F.col("gid").alias("key"), F.col("m").alias("copies")), "key")
         .select(F.col("key").alias("gid"), F.transform("y", lambda v: v / F.sqrt("copies")).alias("y"))

@@ -463,17 +463,64 @@ def spectral_cluster_knn(spark, folder):
     return run.labels.select("id", "owner", "cluster")
 
 
+def customer_standard(spark, folder):
+    rows = table(spark, folder, "customer").select(
+        F.col("c_mktsegment").alias("owner"), F.col("c_custkey").alias("id"), "c_acctbal", "c_nationkey"
+    )
+    return prepare.adapt(rows).points
+
+
 @query()
 def spectral_metrics(spark, folder):
     run = cluster.spectral_cluster(customer_standard(spark, folder), 3, 1.0, mode="nystrom", landmarks=128)
     return run.metrics.withColumn("value", r4(F.col("value")))
 
 
-def customer_standard(spark, folder):
+# Three well separated groups: whatever the start, clustering must return exactly them.
+GROUPED = "SELECT c_custkey AS id, CAST(c_nationkey % 3 AS BIGINT) AS truth FROM customer"
+GROUP_SQL = f"SELECT id, min(id) OVER (PARTITION BY truth) AS first_id FROM ({GROUPED})"
+
+
+def grouped_points(spark, folder):
+    """Customers in three groups ten units apart, each about one unit wide."""
     rows = table(spark, folder, "customer").select(
-        F.col("c_mktsegment").alias("owner"), F.col("c_custkey").alias("id"), "c_acctbal", "c_nationkey"
+        F.col("c_custkey").alias("id"), (F.col("c_nationkey") % 3).cast("string").alias("owner"),
+        ((F.col("c_nationkey") % 3) * 10 + F.col("c_acctbal") / 10000).alias("x0"), ((F.col("c_custkey") % 100) / 100).alias("x1"),
     )
-    return prepare.adapt(rows).points
+    return rows.select("id", "owner", F.array("x0", "x1").alias("f", metadata={"features": ["x0", "x1"]}))
+
+
+def _named_by_first(labels):
+    """Cluster numbers are arbitrary: name each cluster by its smallest id."""
+    names = labels.groupBy("cluster").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    return joins.join_groups(labels.select("id", "cluster"), names, ["cluster"], "n").select("id", "first_id")
+
+
+@query(GROUP_SQL)
+def kmeans_partition(spark, folder):
+    return _named_by_first(kmeans(grouped_points(spark, folder), 3, column="f", starts=3).rows)
+
+
+@query(GROUP_SQL)
+def spectral_partition(spark, folder):
+    return _named_by_first(cluster.spectral_cluster(grouped_points(spark, folder), 3, 1.0, metrics=False).labels)
+
+
+@query(GROUP_SQL)
+def spectral_partition_nystrom(spark, folder):
+    run = cluster.spectral_cluster(grouped_points(spark, folder), 3, 1.0, mode="nystrom", landmarks=64, metrics=False)
+    return _named_by_first(run.labels)
+
+
+@query(GROUP_SQL)
+def spectral_partition_knn(spark, folder):
+    run = cluster.spectral_cluster(grouped_points(spark, folder), 3, 1.0, mode="knn", metrics=False)
+    return _named_by_first(run.labels)
+
+
+@query("SELECT 3 AS k, true AS best")
+def best_k(spark, folder):
+    return quality.tune_k(grouped_points(spark, folder), max_k=6).where("best").select("k", "best")
 
 
 # --- profile ---------------------------------------------------------------------------
@@ -572,13 +619,11 @@ def pca_variance(spark, folder):
        " FROM (SELECT c_mktsegment AS owner, c_nationkey AS rank, count(*) AS share FROM customer GROUP BY 1, 2)")
 def cumulative_share(spark, folder):
     """Running sums per owner over the counts of each nation."""
-    from pyspark.sql import Window
-
     counts = table(spark, folder, "customer").groupBy(
         F.col("c_mktsegment").alias("owner"), F.col("c_nationkey").alias("rank")
     ).agg(F.count(F.lit(1)).alias("share"))
-    w = Window.partitionBy("owner").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    return counts.withColumn("running", r4(F.sum("share").over(w).cast("double")))
+    out = profile.cumulative_share(counts, ["owner"], "rank", "share")
+    return out.withColumn("running", r4(F.col("running").cast("double")))
 
 
 HOPKINS = f"""
@@ -647,12 +692,15 @@ def recommendations(spark, folder):
     return profile.recommendations(facts)
 
 
-@query()
+@query(f"""
+SELECT (WITH {HOPKINS} SELECT round(u / (u + w + 1e-10), 4) FROM h) + 0.0 AS hopkins,
+  (WITH {flags_sql(CUSTOMER, ['x0', 'x1'])} SELECT round(100.0 * count(*) FILTER (zscore OR iqr) / count(*), 4) FROM f) + 0.0 AS outlier_percentage,
+  (WITH h AS (SELECT * FROM ({CUSTOMER}) ORDER BY id LIMIT 100) SELECT round(quantile_cont(sqrt({D2}), 0.5), 4) FROM h a JOIN h b ON a.id < b.id) + 0.0 AS suggested_sigma,
+  (SELECT CAST(abs(corr(x0, x1)) > 0.8 AS BIGINT) FROM ({CUSTOMER})) AS high_pairs, (SELECT count(*) FROM customer) AS n_samples""")
 def profile_all(spark, folder):
     found = profile.profile(customer_points(spark, folder), seed="11")
     return found.facts.select(
-        *[r4(F.col(c)).alias(c) for c in ("hopkins", "outlier_percentage", "suggested_sigma")], "high_pairs", "n_samples",
-        F.lit(found.recommendations.count()).alias("n_recommendations"),
+        *[r4(F.col(c)).alias(c) for c in ("hopkins", "outlier_percentage", "suggested_sigma")], "high_pairs", "n_samples"
     )
 
 
@@ -907,20 +955,26 @@ def cluster_count(spark, folder):
 HASHES = "SELECT *, md5(owner || '|' || id || '|' || x0 || ',' || x1) AS h FROM"
 
 
-@query(f"""SELECT owner, substr(md5({" || '|' || ".join(f"CAST(sum(CAST(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT) AS HUGEINT)) AS VARCHAR)" for i in range(4))}), 1, 12) AS fingerprint
-FROM ({HASHES} ({PART})) GROUP BY owner""")
+PRINT = " || '|' || ".join(
+    f"CAST(sum(CAST(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT) AS HUGEINT)) AS VARCHAR)" for i in range(4)
+)
+
+
+@query(f"""SELECT owner, substr(md5({PRINT}), 1, 12) AS fingerprint FROM ({HASHES} ({PART})) GROUP BY owner""")
 def data_fingerprint(spark, folder):
     return history.data_fingerprint(part_points(spark, folder), by=["owner"])
 
 
-@query()
+@query(f"SELECT r AS id, substr(md5({PRINT}), 1, 12) AS data_hash, count(*) AS n_samples, 3 AS n_clusters "
+       f"FROM ({HASHES} ({PART})), (SELECT unnest([0, 1]) AS r) GROUP BY r")
 def run_log(spark, folder):
     """Cluster, log the run twice, read the log back."""
     path = scratch_path(spark, "runs")
-    points = part_standard(spark, folder)
-    run = cluster.spectral_cluster(points, 3, 1.0, mode="nystrom", landmarks=64)
+    points = part_points(spark, folder)
+    run = cluster.spectral_cluster(part_standard(spark, folder), 3, 1.0, mode="nystrom", landmarks=64, metrics=False)
     mark = history.data_fingerprint(points).first()["fingerprint"]
+    scores = quality.adjusted_rand(run.labels).select(F.lit(quality.ARI).alias("metric"), F.col("ari").alias("value"))
     history.clear_history(spark, path)
     for epsilon in (None, 1.0):
-        history.add_run(path, {"k": 3, "sigma": 1.0, "epsilon": epsilon, "backend": "mock"}, run.metrics, run.labels, mark)
+        history.add_run(path, {"k": 3, "sigma": 1.0, "epsilon": epsilon, "backend": "mock"}, scores, run.labels, mark)
     return history.read_runs(spark, path).select("id", "data_hash", "n_samples", "n_clusters").orderBy("id")
