@@ -16,7 +16,7 @@ HEADLINE = [
     "adapt", "owner_moments", "basic_stats", "outlier_flags", "correlation_matrix", "pca_variance", "hopkins",
     "density", "knn_join", "knn_join_with_self", "lof", "lof_severity", "iforest", "contamination_cut",
     "gaussian_affinity", "affinity_entries", "normalized_affinity", "degree_scale", "compare_tables",
-    "silhouette", "davies_bouldin", "adjusted_rand", "tune_k", "spectral_cluster_nystrom", "spectral_cluster_knn",
+    "silhouette", "davies_bouldin", "adjusted_rand", "tune_k", "spectral_cluster_nystrom",
     "spectral_cluster", "privacy_utility_curve", "report_rows", "compare_runs_metrics", "data_fingerprint",
 ]
 

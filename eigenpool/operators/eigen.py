@@ -6,6 +6,7 @@ wanted vectors (and never on the rows) reach the driver.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -139,6 +140,8 @@ def block_lanczos(
         basis = _extended(work, h + fix, turn)
         fresh = turn.shape[1]
         size += fresh
+    if residual > tol and size < n:
+        warnings.warn(f"eigenvectors not settled after {passes} passes: residual {residual:.1e}", stacklevel=2)
     top = ritz
     vectors = _map_arrays(work, ["key"], {"y": lambda batch: list_matrix(batch.column("basis")) @ top})
     return vectors, [float(v) for v in values], residual

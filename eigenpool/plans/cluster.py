@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +15,7 @@ from eigenpool.operators.eigen import entries_eigen, list_array, top_eigen
 from eigenpool.operators.joins import join_groups
 from eigenpool.operators.kmeans import kmeans
 from eigenpool.operators.matrix import degree_scale, laplace_noise, row_normalize
-from eigenpool.operators.pairs import kernel, knn_groups
+from eigenpool.operators.pairs import EPS, kernel, knn_groups
 from eigenpool.operators.quality import quality
 from eigenpool.operators.tiles import BLOCK_ROWS, Copies, fold_copies, list_matrix, sq_distances
 from eigenpool.session import cut_lineage
@@ -149,7 +150,8 @@ def nystrom_embedding(points: DataFrame, k: int, sigma: float, landmarks: int =
     """
     marks = landmark_rows(points, landmarks)
     inner, vecs = np.linalg.eigh(kernel(sq_distances(marks, marks), sigma, True))
-    keep = inner > inner.max() * 1e-12
+    # Weaker directions carry less than the rounding their inverse would add.
+    keep = inner > inner.max() * math.sqrt(EPS)
     inverse = (vecs[:, keep] / inner[keep]) @ vecs[:, keep].T
     half = vecs[:, keep] / np.sqrt(inner[keep])
 
