@@ -44,15 +44,18 @@ def lof(points: DataFrame, neighbours: int = LOF_NEIGHBOURS, block_rows: int | N
     others = near.join(own, "gid").where(
         F.col("rank") != F.coalesce("own", F.lit(k + 1))
     ).select("gid", "nid", "d").persist()
-    reach = others.groupBy("gid").agg(F.max("d").alias("kd"))
+    # A row may be the neighbour of very many others, so these joins know how often it is.
+    asked = others.groupBy("nid").agg(F.count(F.lit(1)).alias("asked"))
+    reach = others.groupBy(F.col("gid").alias("nid")).agg(F.max("d").alias("kd")).join(asked, "nid")
     density = (
-        others.join(reach.select(F.col("gid").alias("nid"), "kd"), "nid")
+        join_groups(others, reach, ["nid"], "asked")
         .groupBy("gid")
         .agg((F.lit(1.0) / (F.avg(F.greatest("d", "kd")) + F.lit(TINY))).alias("lrd"))
         .persist()
     )
+    around = density.select(F.col("gid").alias("nid"), F.col("lrd").alias("near_lrd")).join(asked, "nid")
     scores = (
-        others.join(density.select(F.col("gid").alias("nid"), F.col("lrd").alias("near_lrd")), "nid")
+        join_groups(others, around, ["nid"], "asked")
         .groupBy("gid").agg(F.avg("near_lrd").alias("near_lrd"))
         .join(density, "gid")
         .select("gid", (F.col("near_lrd") / F.col("lrd")).alias("severity"))

@@ -58,7 +58,7 @@ def join_groups(
 
 
 def with_position(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
-    """0-based global position by a stated order, without sorting in one task.
+    """0-based global position by a stated order ending in a unique key, not sorted in one task.
 
     Rows are range-partitioned and sorted; the partition sizes (one number per
     partition) give each partition its offset.

@@ -4,56 +4,86 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DIRECT_ROWS = 1_000_000
-LISTED_ROWS = 100_000
+LISTED_ROWS = 1_000_000
+REACH, ACCURACY = 0.0005, 10_000
 
 
-def _rank_values(df: DataFrame, column: str, ranks: list[int], n: int, direct: int) -> dict[int, float]:
-    """Values at the given 0-based ranks of the non-null cells, by narrowing a bracket per rank.
+@dataclass
+class _Bracket:
+    """Where one order statistic must lie: `inside` rows in [low, high], `below` rows under it."""
 
-    Every round is one pass that counts below a bracket taken from a bounded sketch;
-    a bracket with few distinct values is then read in order.
-    """
-    found = {}
-    values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    for rank in ranks:
-        low, high, below, inside = None, None, 0, n
-        while rank not in found:
-            part = values
-            if low is not None:
-                part = values.where((F.col("v") >= low) & (F.col("v") <= high))
-            if inside <= direct:
-                counts = part.groupBy("v").agg(F.count(F.lit(1)).alias("c")).orderBy("v").collect()
-                seen = below
-                for row in counts:
-                    seen += row["c"]
-                    if rank < seen:
-                        found[rank] = row["v"]
-                        break
-                break
-            share = (rank - below + 0.5) / inside
-            probes = sorted({min(max(share + s, 0.0), 1.0) for s in (-0.002, 0.0, 0.002)})
-            cuts = sorted(set(part.agg(F.percentile_approx("v", probes, 10_000).alias("p")).first()["p"]))
-            facts = part.agg(
-                F.min("v").alias("least"), F.max("v").alias("most"),
-                *[F.count_if(F.col("v") < c).alias(f"b{i}") for i, c in enumerate(cuts)],
-                *[F.count_if(F.col("v") <= c).alias(f"u{i}") for i, c in enumerate(cuts)],
-            ).first()
-            place = rank - below
-            edges = [(facts["least"], 0)] + [(c, facts[f"b{i}"]) for i, c in enumerate(cuts)]
-            exact = [c for i, c in enumerate(cuts) if facts[f"b{i}"] <= place < facts[f"u{i}"]]
-            if exact:
-                found[rank] = exact[0]
+    column: str
+    rank: int
+    below: int
+    inside: int
+    low: float = -math.inf
+    high: float = math.inf
+    value: float | None = None
+
+    def cell(self):
+        v = F.col(f"`{self.column}`")
+        return F.when((v >= F.lit(self.low)) & (v <= F.lit(self.high)), v)
+
+    def probes(self) -> list[float]:
+        share = (self.rank - self.below + 0.5) / self.inside
+        return sorted({min(max(share + s, 0.0), 1.0) for s in (-REACH, 0.0, REACH)})
+
+    def narrow(self, cuts: list[tuple[float, int, int]]) -> None:
+        """Shrink by cut values, each with the bracket's rows below it and up to it."""
+        place = self.rank - self.below
+        for value, under, upto in cuts:
+            if under <= place < upto:
+                self.value = value
+                return
+        lower = [(under, value) for value, under, _ in cuts if under <= place]
+        upper = [(value, upto) for value, _, upto in cuts if upto > place]
+        end = self.inside
+        if upper:
+            self.high, end = min(upper)
+        start = 0
+        if lower:
+            start, self.low = max(lower)
+        self.below, self.inside = self.below + start, end - start
+
+
+def _settle(df: DataFrame, wanted: list[_Bracket], listed: int) -> None:
+    """Fill in every bracket's value; two passes per round serve all columns together."""
+    while True:
+        wide = [b for b in wanted if b.value is None and b.inside > listed]
+        if not wide:
+            break
+        sketch = df.agg(*[
+            F.percentile_approx(b.cell(), b.probes(), ACCURACY).alias(f"p{i}") for i, b in enumerate(wide)
+        ]).first()
+        cuts = [sorted(set(sketch[f"p{i}"])) for i in range(len(wide))]
+        counts = df.agg(*[
+            F.count_if(test).alias(f"{side}{i}_{j}")
+            for i, b in enumerate(wide) for j, c in enumerate(cuts[i])
+            for side, test in (("u", b.cell() < F.lit(c)), ("t", b.cell() <= F.lit(c)))
+        ]).first()
+        for i, b in enumerate(wide):
+            b.narrow([(c, counts[f"u{i}_{j}"], counts[f"t{i}_{j}"]) for j, c in enumerate(cuts[i])])
+    small = [b for b in wanted if b.value is None]
+    if not small:
+        return
+    cells = F.array(*[F.struct(F.lit(i).alias("b"), b.cell().alias("v")) for i, b in enumerate(small)])
+    rows = (
+        df.select(F.explode(cells).alias("c")).where(F.col("c.v").isNotNull())
+        .groupBy("c.b", "c.v").agg(F.count(F.lit(1)).alias("n")).collect()
+    )
+    for i, b in enumerate(small):
+        seen = b.below
+        for row in sorted((r for r in rows if r["b"] == i), key=lambda r: r["v"]):
+            seen += row["n"]
+            if b.rank < seen:
+                b.value = row["v"]
                 break
-            low, start = max((e for e in edges if e[1] <= place), key=lambda e: (e[1], e[0]))
-            above = [(c, facts[f"u{i}"]) for i, c in enumerate(cuts) if facts[f"u{i}"] > place]
-            high, end = min(above) if above else (facts["most"], inside)
-            below, inside = below + start, end - start
-    return found
 
 
 def exact_quantiles(
@@ -62,23 +92,24 @@ def exact_quantiles(
     """Linear-interpolated quantiles of every column, NULL and NaN left out.
 
     Up to `direct` rows the built-in aggregate does it in one pass; its state grows with
-    the distinct values, so beyond that each needed order statistic is bracketed instead.
+    the distinct values, so beyond that each needed order statistic is bracketed by a
+    bounded sketch and exact counts until few values are left to read.
     """
     clean = df.select(*[F.nullif(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))).alias(c) for c in columns])
-    counts = clean.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in columns]).first()
-    if max(counts) <= direct:
+    counts = clean.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in columns]).first().asDict()
+    if max(counts.values()) <= direct:
         row = clean.agg(*[F.percentile(F.col(f"`{c}`"), list(shares)).alias(c) for c in columns]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(shares) for c in columns}
-    out: dict[str, list[float | None]] = {}
-    for c in columns:
-        n = counts[c]
-        if not n:
-            out[c] = [None] * len(shares)
-            continue
-        places = [share * (n - 1) for share in shares]
-        ranks = sorted({r for p in places for r in (math.floor(p), math.ceil(p))})
-        values = _rank_values(clean, c, ranks, n, min(direct, LISTED_ROWS))
-        out[c] = [
-            values[math.floor(p)] + (values[math.ceil(p)] - values[math.floor(p)]) * (p - math.floor(p)) for p in places
-        ]
+    places = {c: [share * (counts[c] - 1) for share in shares] for c in columns if counts[c]}
+    wanted = {
+        (c, rank): _Bracket(c, rank, 0, counts[c])
+        for c, spots in places.items() for p in spots for rank in (math.floor(p), math.ceil(p))
+    }
+    _settle(clean, list(wanted.values()), max(min(direct, LISTED_ROWS) // len(wanted), 10))
+    out: dict[str, list[float | None]] = {c: [None] * len(shares) for c in columns}
+    for c, spots in places.items():
+        out[c] = []
+        for p in spots:
+            low, high = wanted[c, math.floor(p)].value, wanted[c, math.ceil(p)].value
+            out[c].append(low + (high - low) * (p - math.floor(p)))
     return out

@@ -175,20 +175,15 @@ def tile_plan(blocks: Blocks, reach: np.ndarray | float = math.inf, own: bool =
 
     def partners(batches):
         for batch in batches:
-            left, right = [], []
             for b in batch.column("id").to_numpy():
                 gap = np.sqrt(((pivots - pivots[pivot_of[b]]) ** 2).sum(1))[pivot_of[b:]]
                 room = gap - radius[b] - radius[b:] - slack
                 near = b + np.nonzero(room <= np.maximum(limits[b], limits[b:]))[0]
                 if not own:
                     near = near[near != b]
-                left.append(np.full(len(near), b))
-                right.append(near)
-            if left:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(left).astype(np.int32)), pa.array(np.concatenate(right).astype(np.int32))],
-                    ["b", "c"],
-                )
+                if len(near):
+                    pair = [np.full(len(near), b, dtype=np.int32), near.astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(side) for side in pair], ["b", "c"])
 
     return spark.range(count).mapInArrow(partners, "b int, c int")
 

@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from eigenpool.operators.joins import first_per_group
+from eigenpool.operators.joins import first_per_group, join_groups, with_position
 from eigenpool.operators.prepare import NO_NUMERIC
 
 # Texts read as missing.
 MISSING = ["", "#N/A", "#NA", "N/A", "NA", "NULL", "NaN", "None", "nan", "n/a", "null", "<NA>"]
 
 HEADER_READS = 16
+PLACE = ["__file", "__block", "__line"]
+ROWS_PER_FILE = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -53,7 +55,8 @@ def _scan(spark: SparkSession, paths: dict[str, str], columns: list[str]) -> Dat
     folder = F.when(parent.startswith("owner="), F.url_decode(F.url_decode(F.substring(parent, 7, 1_000_000))))
     owner = F.coalesce(folder, F.url_decode(F.col("_metadata.file_name")))
     return files.select(
-        owner.alias("owner"), F.monotonically_increasing_id().alias("id"),
+        owner.alias("owner"), F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__line"),
         *cells, F.col("__extra").isNotNull().alias("__long"),
     )
 
@@ -63,15 +66,18 @@ def read_owner_csvs(spark: SparkSession, paths: Sequence[str]) -> OwnerTables:
 
     Headers differ between owners, and a CSV scan matches by position, so files are
     scanned together only when their headers agree. A column is numeric in an owner
-    when every present value parses as a number; elsewhere it counts as text.
+    when every present value parses as a number; elsewhere it counts as text. `id` is the
+    position in the stack of all owners: owners in the given order, rows as in the file.
     """
     by_header: dict[tuple[str, ...], dict[str, str]] = {}
     failed: list[tuple[str, bool, str]] = []
+    names: list[str] = []
     with ThreadPoolExecutor(HEADER_READS) as pool:
         headers = list(pool.map(lambda path: _header(spark, path), paths))
     for path, (columns, error) in zip(paths, headers):
         base = os.path.basename(path.rstrip("/"))
         owner = unquote(base[len("owner="):]) if base.startswith("owner=") else base
+        names.append(owner)
         if error:
             failed.append((owner, False, error))
         else:
@@ -99,8 +105,11 @@ def read_owner_csvs(spark: SparkSession, paths: Sequence[str]) -> OwnerTables:
         good = facts.where(~F.col("long_row") & any_number).drop("long_row")
         present = cells.where(F.coalesce(*[F.col(f"`{c}`") for c in columns]).isNotNull())
         values = [F.when(F.col(f"ok_{i}"), number[c]).alias(c) for i, c in enumerate(columns)]
-        numeric_parts.append(present.join(F.broadcast(good), "owner").select("owner", "id", *values))
-    rows = pool_owners(numeric_parts)
+        numeric_parts.append(present.join(F.broadcast(good), "owner").select("owner", *PLACE, *values))
+    turns = spark.createDataFrame([(o, i) for i, o in enumerate(names)], "owner string, __turn int")
+    pooled = pool_owners(numeric_parts).join(F.broadcast(turns), "owner")
+    placed = with_position(pooled, ["__turn", *PLACE], "id").drop("__turn", *PLACE)
+    rows = placed.select("owner", "id", *[F.col(f"`{c}`") for c in placed.columns if c not in ("owner", "id")])
     status = reduce(DataFrame.unionByName, status_parts)
     if failed:
         status = status.unionByName(
@@ -125,9 +134,13 @@ def pool_points(tables: dict[str, DataFrame] | Sequence[DataFrame]) -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
-def write_owner_csvs(df: DataFrame, path: str) -> None:
-    """One folder of headered CSV per owner; a large owner is written as several files."""
-    df.write.partitionBy("owner").option("header", True).csv(path)
+def write_owner_csvs(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """One folder of headered CSV per owner, in as many files as its rows call for."""
+    counts = df.groupBy("owner").agg(F.count(F.lit(1)).alias("__n"))
+    sized = join_groups(df, counts, ["owner"], "__n")
+    files = F.ceil(F.col("__n") / rows_per_file)
+    share = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), files)
+    sized.repartition("owner", share).drop("__n").write.partitionBy("owner").option("header", True).csv(path)
 
 
 def owner_folders(spark: SparkSession, path: str) -> list[str]:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from eigenpool.functions.vectors import feature_array
 from eigenpool.operators import anomaly, pairs, profile, quality
 from eigenpool.operators.eigen import top_eigen
-from eigenpool.operators.joins import with_position
 from eigenpool.operators.prepare import adapt
 from eigenpool.operators.tiles import fold_copies
 from eigenpool.plans.cluster import spectral_cluster
@@ -35,7 +34,7 @@ def owners(spark):
     paths = [os.path.join(FOLDER, f"user{i}.csv") for i in (1, 2, 3)]
     read = read_owner_csvs(spark, paths)
     assert read.status.where("ok").count() == 3
-    return with_position(read.rows.withColumnRenamed("id", "line"), ["owner", "line"], "id").drop("line").persist()
+    return read.rows.persist()
 
 
 @pytest.fixture(scope="module", params=["raw", "z"])

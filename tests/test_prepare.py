@@ -97,6 +97,7 @@ def test_owner_files_with_other_headers_and_bad_files(spark, tmp_path):
     read = owners.read_owner_csvs(spark, [str(tmp_path / f"{n}.csv") for n in names])
     ok = {r["owner"]: r["ok"] for r in read.status.collect()}
     assert ok == {f"{n}.csv": n in ("one", "two") for n in names}
+    assert [(r["id"], r["x"]) for r in read.rows.orderBy("id").collect()] == list(enumerate([1.0, 2.0, 3.0, 4.0, 5.0]))
     rows = {(r["owner"], r["x"]): (r["y"], r["note"]) for r in read.rows.collect()}
     assert rows == {("one.csv", 1.0): (10.0, None), ("one.csv", 2.0): (None, None), ("one.csv", 3.0): (30.0, None),
                     ("two.csv", 4.0): (40.0, 7.0), ("two.csv", 5.0): (50.0, 8.0)}
