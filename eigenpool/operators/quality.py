@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from eigenpool.functions.vectors import sq_distance, width
 from eigenpool.operators.joins import join_groups
-from eigenpool.operators.kmeans import kmeans
+from eigenpool.operators.kmeans import kmeans_sweep
 from eigenpool.operators.tiles import (
     BLOCK_ROWS, Copies, build_blocks, fold_copies, run_tiles, sq_distances, tile_plan,
 )
@@ -232,11 +232,7 @@ def tune_k(points: DataFrame, max_k: int = 10, seed: int = 42, block_rows: int =
     """
     copies = fold_copies(points)
     ks = list(range(2, max_k + 1))
-    rows = copies.groups
-    cost = {}
-    for k in ks:
-        fitted = kmeans(rows, k, seed=seed, column="f", out=f"k{k}", weight="m")
-        rows, cost[k] = fitted.rows, fitted.inertia
+    rows, cost = kmeans_sweep(copies.groups, ks, seed=seed, weight="m")
     codes = F.array(*[F.col(f"k{k}").cast("bigint") for k in ks])
     meta = points.schema["f"].metadata
     labelled = rows.select("gid", F.col("f").alias("f", metadata=meta), "m", codes.alias("codes")).persist()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -222,6 +223,7 @@ def spectral_cluster(
 
 # Privacy budgets of the trade-off curve.
 CURVE_EPSILONS = (0.1, 0.5, 1.0, 2.0, 5.0, 10.0)
+CURVE_JOBS = 3
 
 
 def privacy_utility_curve(
@@ -233,12 +235,14 @@ def privacy_utility_curve(
     """
     from eigenpool.operators.quality import mean_silhouette
 
-    base = spectral_embedding(points, k, sigma, mode, **options).rows.persist()
-    out = []
-    for epsilon in epsilons:
+    base = cut_lineage(spectral_embedding(points, k, sigma, mode, **options).rows, "embedding")
+
+    def score(epsilon: float) -> float:
         noised = laplace_noise(base, epsilon, noise_seed)
         labels = kmeans(noised, k).rows.select("id", F.col("y").alias("f"), "cluster")
-        score = mean_silhouette(labels).first()
-        value = score["silhouette"] if score is not None else None
-        out.append((float(epsilon), 0.0 if value is None or np.isnan(value) else float(value)))
+        row = mean_silhouette(labels).first()
+        return 0.0 if row is None or np.isnan(row["silhouette"]) else float(row["silhouette"])
+
+    with ThreadPoolExecutor(CURVE_JOBS) as pool:
+        out = list(zip(map(float, epsilons), pool.map(score, epsilons)))
     return points.sparkSession.createDataFrame(out, "epsilon double, silhouette double")

@@ -78,6 +78,13 @@ V2 = "list_sum(list_transform(list_zip(a.f, b.f), lambda p: (p[1] - p[2]) * (p[1
 VD = "list_distance(a.f, b.f)"
 
 
+def ari_sql(table_: str, left: str, right: str) -> str:
+    return f"""c AS (SELECT {left} AS l, {right} AS t, count(*) AS n FROM {table_} GROUP BY 1, 2),
+  x AS (SELECT sum(n * (n - 1) / 2.0) AS same FROM c), lx AS (SELECT sum(n * (n - 1) / 2.0) AS v FROM (SELECT sum(n) AS n FROM c GROUP BY l)),
+  tx AS (SELECT sum(n * (n - 1) / 2.0) AS v FROM (SELECT sum(n) AS n FROM c GROUP BY t)), nx AS (SELECT sum(n) * (sum(n) - 1) / 2.0 AS v FROM c),
+  ari AS (SELECT (same - lx.v * tx.v / nx.v) / ((lx.v + tx.v) / 2 - lx.v * tx.v / nx.v) AS ari FROM x, lx, tx, nx)"""
+
+
 # --- sources, generators, preparation --------------------------------------------------
 
 @query("SELECT p_brand AS owner, p_partkey AS part, p_size AS size, p_retailprice AS price, 3 AS n_numeric FROM part")
@@ -518,6 +525,15 @@ def spectral_partition_knn(spark, folder):
     return _named_by_first(run.labels)
 
 
+@query(f"WITH g AS (SELECT *, id AS rid FROM ({GROUPED})), {ari_sql('g', 'truth', 'truth')} "
+       f"SELECT 'Silhouette Score' AS metric, 1.0 AS value UNION ALL SELECT 'Davies-Bouldin Index', 0.0 "
+       f"UNION ALL SELECT 'Adjusted Rand Index (ARI)', {rd('ari', 'value')} FROM ari")
+def spectral_partition_metrics(spark, folder):
+    """Groups without any affinity between them are mapped to as many single points."""
+    run = cluster.spectral_cluster(grouped_points(spark, folder), 3, 1.0)
+    return run.metrics.withColumn("value", r4(F.col("value")))
+
+
 @query("SELECT 3 AS k, true AS best")
 def best_k(spark, folder):
     return quality.tune_k(grouped_points(spark, folder), max_k=6).where("best").select("k", "best")
@@ -744,13 +760,6 @@ DBI = f"""c AS (SELECT label, list(m ORDER BY i) AS f FROM (SELECT label, i, avg
   r AS (SELECT a.label, max((x.s + y.s) / sqrt({V2})) AS r FROM c a JOIN c b ON a.label <> b.label JOIN g x ON x.label = a.label JOIN g y ON y.label = b.label GROUP BY a.label)"""
 
 
-def ari_sql(table_: str, left: str, right: str) -> str:
-    return f"""c AS (SELECT {left} AS l, {right} AS t, count(*) AS n FROM {table_} GROUP BY 1, 2),
-  x AS (SELECT sum(n * (n - 1) / 2.0) AS same FROM c), lx AS (SELECT sum(n * (n - 1) / 2.0) AS v FROM (SELECT sum(n) AS n FROM c GROUP BY l)),
-  tx AS (SELECT sum(n * (n - 1) / 2.0) AS v FROM (SELECT sum(n) AS n FROM c GROUP BY t)), nx AS (SELECT sum(n) * (sum(n) - 1) / 2.0 AS v FROM c),
-  ari AS (SELECT (same - lx.v * tx.v / nx.v) / ((lx.v + tx.v) / 2 - lx.v * tx.v / nx.v) AS ari FROM x, lx, tx, nx)"""
-
-
 @query(f"WITH {SIL} SELECT {rd('avg(v)', 'silhouette')} FROM q")
 def silhouette(spark, folder):
     return quality.mean_silhouette(vector_points(spark, folder)).select(r4(F.col("silhouette")).alias("silhouette"))
