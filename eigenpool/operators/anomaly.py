@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eigenpool.functions.vectors import width
@@ -15,6 +15,7 @@ from eigenpool.operators.joins import first_per_group, join_groups
 from eigenpool.operators.pairs import knn_groups
 from eigenpool.operators.quantiles import exact_quantiles
 from eigenpool.operators.tiles import fold_copies, list_matrix
+from eigenpool.session import cut_lineage
 
 # Neighbours of the local factor, trees and rows per tree of the forest,
 # and the limits of the contamination share.
@@ -38,12 +39,13 @@ def lof(points: DataFrame, neighbours: int = LOF_NEIGHBOURS, block_rows: int | N
     """
     copies = fold_copies(points)
     k = min(neighbours, copies.n_rows - 1)
-    near = knn_groups(copies, points, k + 1, block_rows).persist()
-    self_rank = F.min(F.when(F.col("nid") == F.col("gid"), F.col("rank")))
-    own = near.groupBy("gid").agg(self_rank.alias("own"))
-    others = near.join(own, "gid").where(
-        F.col("rank") != F.coalesce("own", F.lit(k + 1))
-    ).select("gid", "nid", "d").persist()
+    near = knn_groups(copies, points, k + 1, block_rows)
+    w = Window.partitionBy("gid")
+    own = F.min(F.when(F.col("nid") == F.col("gid"), F.col("rank"))).over(w)
+    others = cut_lineage(
+        near.withColumn("own", own).where(F.col("rank") != F.coalesce("own", F.lit(k + 1))).select("gid", "nid", "d"),
+        "neighbours",
+    )
     # A row may be the neighbour of very many others, so these joins know how often it is.
     asked = others.groupBy("nid").agg(F.count(F.lit(1)).alias("asked"))
     reach = others.groupBy(F.col("gid").alias("nid")).agg(F.max("d").alias("kd")).join(asked, "nid")
@@ -51,8 +53,8 @@ def lof(points: DataFrame, neighbours: int = LOF_NEIGHBOURS, block_rows: int | N
         join_groups(others, reach, ["nid"], "asked")
         .groupBy("gid")
         .agg((F.lit(1.0) / (F.avg(F.greatest("d", "kd")) + F.lit(TINY))).alias("lrd"))
-        .persist()
     )
+    density = cut_lineage(density, "density")
     around = density.select(F.col("gid").alias("nid"), F.col("lrd").alias("near_lrd")).join(asked, "nid")
     scores = (
         join_groups(others, around, ["nid"], "asked")

@@ -16,6 +16,7 @@ from eigenpool.operators.tiles import (
     BLOCK_ROWS, DIRECT_WIDTH, Blocks, Copies, build_blocks, fold_copies, own_tiles, run_tiles,
     sq_distances, tile_plan,
 )
+from eigenpool.session import cut_lineage
 
 EPS = float(np.finfo(float).eps)
 NARROW_WIDTH, NARROW_BLOCK_ROWS = 8, 512
@@ -246,7 +247,7 @@ def knn_groups(copies: Copies, points: DataFrame, k: int, block_rows: int | None
     schema = "gid bigint, id bigint, nid bigint, d double"
     found = run_tiles(blocks, own_tiles(blocks), tile, schema)
     if blocks.count > 1:
-        found = found.persist()
+        found = cut_lineage(found, "inside")
         inside = (
             found.groupBy("gid").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("far"))
             .withColumn("bound", F.when(F.col("n") >= k, F.col("far")).otherwise(F.lit(float("inf"))))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eigenpool.functions.vectors import width
+from eigenpool.session import cut_lineage
 
 BLOCK_ROWS = 2048
 MAX_PIVOTS = 2048
@@ -43,11 +44,11 @@ def fold_copies(points: DataFrame, extra: list[str] | None = None) -> Copies:
     """
     keys = ["f", *(extra or [])]
     meta = points.schema["f"].metadata
-    groups = (
+    groups = cut_lineage(
         points.groupBy(*keys)
         .agg(F.min("id").alias("gid"), F.count(F.lit(1)).alias("m"))
-        .withColumn("f", F.col("f").alias("f", metadata=meta))
-        .persist()
+        .withColumn("f", F.col("f").alias("f", metadata=meta)),
+        "copies",
     )
     size = groups.agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("rows"), F.max("m").alias("top")).first()
     if not size["n"]:
@@ -139,10 +140,8 @@ def build_blocks(points: DataFrame, n: int, key: str = "gid", block_rows: int =
     pivots = np.array([r["f"] for r in chosen.select("f").collect()], dtype=float)
     columns = [c for c in points.columns if c not in ("cell", "dist", "block")]
     kinds = ", ".join(f"`{c}` {points.schema[c].dataType.simpleString()}" for c in columns)
-    placed = (
-        points.select(*columns)
-        .mapInArrow(_nearest_pivot(pivots), f"{kinds}, cell int, dist double")
-        .persist()
+    placed = cut_lineage(
+        points.select(*columns).mapInArrow(_nearest_pivot(pivots), f"{kinds}, cell int, dist double"), "blocks"
     )
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).orderBy("cell").collect()
     base, layout = 0, []
