@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eigenpool.llm import mixing
-from eigenpool.llm.common import documents
+from eigenpool.llm import langid, minmax, mixing, toxicity
+from eigenpool.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,3 +28,40 @@ def query(sql: str | None = None):
 @query()
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query()
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    part = langid.remainder(F.col("doc_id"), 4)
+    found = langid.identify(docs, langid.fit(docs.where(part != 2)))
+    return found.select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("""with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s from words),
+one as (select min(doc_id) as node, list_sort(s) as s, len(s) as n from sets where len(s) > 0 group by 2, 3),
+shingles as (select node, n, unnest(s) as x from one),
+links as (
+  select a.node as a, b.node as b from shingles a join shingles b on a.x = b.x and a.node <> b.node
+    and 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  group by a.node, b.node, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach as (select node, node as root from one union select l.b, r.root from reach r join links l on l.a = r.node),
+roots as (select node, min(root) as root from reach group by node)
+select s.doc_id, len(s.s) as n_shingles, coalesce(r.root, s.doc_id) as component_id, s.doc_id = coalesce(r.root, s.doc_id) as kept
+from sets s left join one o on list_sort(s.s) = o.s left join roots r on r.node = o.node""")
+def op8_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(documents(spark, sf_dir))
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir).select("doc_id", "text"), table(spark, "labels", sf_dir).select("doc_id", "toxic")
+    part = langid.remainder(F.col("doc_id"), 3)
+    model = toxicity.fit(labels.where(part != 1).join(docs, "doc_id"))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "score", "predicted")
