@@ -1,13 +1,83 @@
-"""The corpus pipeline: stages over `documents`, each written and read again before the next."""
+"""The corpus pipeline: stages over `documents`, each written and read again before the next.
+
+Languages are identified and texts without one go; one document of each group of near-duplicates
+stays; secrets are masked; sources are mixed to target weights, documents left out or repeated; and
+what the mix takes is packed into token sequences. All but the last stage return the columns of
+`documents`, whatever others the input has.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from eigenpool.llm import langid, minmax, mixing, packing, secret_scan
 from eigenpool.llm.common import documents
-from eigenpool.session import cut_lineage
+from eigenpool.session import cut_lineage, scratch_path
+
+COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
+
+
+def _columns(docs: DataFrame) -> DataFrame:
+    return docs.select(*(F.col(c).cast(kind).alias(c) for c, kind in COLUMNS.items()))
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a language: null texts and texts without a letter.
+
+    Where nothing can be learned, because no document has text and language, all go.
+    """
+    docs = _columns(docs)
+    return langid.accepted(docs, langid.fit(docs))
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near-duplicates.
+
+    Documents without words are in no group and stay, and those whose group has null ids alone;
+    of rows with equal ids in one group, one stays.
+    """
+    docs = _columns(docs)
+    found = cut_lineage(minmax.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("k_id")), "kept")
+    counts = found.agg(F.count("*").alias("n"), F.count_distinct("k_id").alias("ids"), F.count(F.when(F.col("k_id").isNull(), 1)).alias("nulls")).first()
+    stay = docs.join(found.where("k_id is not null").distinct(), F.col("doc_id") == F.col("k_id"), "left_semi")
+    if counts["n"] - counts["nulls"] > counts["ids"]:
+        stay = stay.dropDuplicates(["doc_id"])
+    return stay.unionByName(docs.where("doc_id is null")) if counts["nulls"] else stay
+
+
+def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks all secrets; every document stays, `n_chars` follows the text."""
+    clean = secret_scan.masked(_columns(docs), scratch_path(spark, "blob-ledger"))
+    return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, or up to three times."""
+    docs = _columns(docs)
+    found = mixing.mix(docs).where("copies > 0").groupBy("doc_id", "source", "text_hash").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    found = cut_lineage(found, "copies")
+    repeated = found.where("rows > 1").limit(1).count()
+    found = found.select(F.col("doc_id").alias("c_id"), F.col("source").alias("c_source"), "text_hash", "copies")
+    rows = docs.withColumn("own_hash", F.xxhash64("text"))
+    if repeated:
+        rows = rows.dropDuplicates(["doc_id", "source", "own_hash"])
+    taken = rows.join(found, F.col("doc_id").eqNullSafe(F.col("c_id")) & F.col("source").eqNullSafe(F.col("c_source")) & (F.col("own_hash") == F.col("text_hash")))
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows and their places in sequences."""
+    return packing.packed(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("language", identify),
+    ("near_duplicates", deduplicate),
+    ("secrets", mask),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
 #: Mixing and language models have no SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL = None

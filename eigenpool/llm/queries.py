@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eigenpool.llm import langid, minmax, mixing, toxicity
+from eigenpool.llm import (
+    divergence, langid, licenses, minmax, mixing, packing, secret_scan, simhash, surrogates, toxicity,
+)
 from eigenpool.llm.common import documents, table
+from eigenpool.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +28,10 @@ def query(sql: str | None = None):
     return register
 
 
+def _of(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 @query()
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -65,3 +72,62 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(labels.where(part != 1).join(docs, "doc_id"))
     found = toxicity.score(docs, model)
     return found.select("doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(documents(spark, sf_dir))
+
+
+@query()
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))[0].drop("row")
+
+
+@query()
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint(documents(spark, sf_dir))
+
+
+@query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir))
+
+
+@query("""
+with docs as (select doc_id, coalesce(text, '') as t from documents),
+rules(kind, place, re, grp, least) as (values
+  ('assign', 0, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 8),
+  ('access', 1, '(AKIA[A-Z0-9]+)', 1, 16),
+  ('hex', 2, '([0-9a-f]{32,})', 1, 1),
+  ('github', 3, '(gh[pousr]_[A-Za-z0-9]{36,})', 1, 1),
+  ('slack', 4, '(xox[abprs]-[A-Za-z0-9-]{10,})', 1, 1),
+  ('google', 5, '(AIza[0-9A-Za-z_-]{35})', 1, 1),
+  ('jwt', 6, '(eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,})', 1, 1),
+  ('pem', 7, '(-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)', 1, 1)),
+hits as (
+  select doc_id, t, kind, place, least, regexp_extract_all(t, re, 0) as hit, regexp_extract_all(t, re, grp) as inner_hit, string_split_regex(t, re) as gap
+  from docs, rules where regexp_matches(t, re)),
+each as (select *, unnest(range(1, len(hit) + 1)) as i from hits),
+spans as (
+  select doc_id, t, kind, place, list_sum(list_transform(gap[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hit[1:i - 1], lambda x: length(x))), 0) as a,
+    length(hit[i]) as n from each where length(inner_hit[i]) >= least),
+found as (
+  select doc_id, t, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+    string_agg(kind || ':' || a::bigint || ':' || (a + n)::bigint, ',' order by a, place) as spans,
+    string_agg(kind || ':' || a::bigint || ':' || (a + n)::bigint, ',' order by a, place) filter (place < 3) as base
+  from (select distinct * from spans) group by doc_id, t)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from docs d left join found f on f.doc_id is not distinct from d.doc_id and f.t = d.t
+""")
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir), scratch_path(spark, "blob-ledger"))
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secret_scan.BASE]))
+    counts = [F.size(F.filter("spans", _of(r.kind))).cast("long").alias(f"n_{r.kind}") for r in secret_scan.BASE]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+@query()
+def op9_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(documents(spark, sf_dir))
