@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from eigenpool.session import cut_lineage
 
 
+#: Nodes of a bucket with which all its nodes are compared, in each of the first rounds.
+PIVOTS = (1, 4)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(nid, root): the smallest node reachable, for every node in links (a, b).
 
@@ -44,27 +48,29 @@ def _across(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
     return cut_lineage(labelled.join(mixed, "key"), "mixed")
 
 
-def link_nodes(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
-    """(nid, root) of all linked nodes, or None; `buckets` is (key, nid).
+def link_nodes(
+    buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame], candidates: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    """(nid, root) of all linked nodes, or None where there are no links; `buckets` is (key, nid).
 
-    `confirm` keeps those of the pairs (a, b) that are links.
-
-    In each round some documents of a bucket, the pivots, are compared with all its documents of other
-    components and then leave it. A bucket with one component left is done. The number of
-    pivots a bucket doubles from round to round, so rounds are few.
+    First every node of a bucket is compared with one node of it, then, where components are left,
+    with a few. Most buckets of similar nodes are one component then, and need no more. `candidates`
+    gets the rows (key, nid, root) of the buckets that still hold several and returns the pairs (a, b)
+    across components that may be links. `confirm` keeps those of the pairs that are.
     """
-    links, roots, pivots = None, None, 1
-    while True:
-        left = _across(buckets, roots)
-        if not left.limit(1).count():
+    links, roots = None, None
+    for pivots in PIVOTS:
+        mixed = _across(buckets, roots)
+        if not mixed.limit(1).count():
             return roots
         part = F.pmod(F.xxhash64("nid"), F.lit(pivots))
-        chosen = cut_lineage(left.groupBy("key", part.alias("part")).agg(F.min(F.struct("nid", "root")).alias("p")).select(
-            "key", F.col("p.nid").alias("a"), F.col("p.root").alias("root_a")), "pivots")
-        pairs = left.join(chosen, "key").where("root <> root_a").select(
-            F.least("a", "nid").alias("a"), F.greatest("a", "nid").alias("b")).distinct()
-        found = cut_lineage(confirm(cut_lineage(pairs, "pairs")), "linked")
+        chosen = mixed.groupBy("key", part.alias("part")).agg(F.min(F.struct("nid", "root")).alias("p"))
+        chosen = chosen.select("key", F.col("p.nid").alias("a"), F.col("p.root").alias("root_a"))
+        pairs = mixed.join(chosen, "key").where("root <> root_a").select(F.least("a", "nid").alias("a"), F.greatest("a", "nid").alias("b"))
+        found = cut_lineage(confirm(cut_lineage(pairs.distinct(), "pairs")), "linked")
         links = found if links is None else links.unionAll(found)
         roots = components(links) if links.limit(1).count() else None
-        buckets = left.select("key", "nid").join(chosen.select("key", F.col("a").alias("nid")), ["key", "nid"], "left_anti")
-        pivots *= 2
+    mixed = _across(buckets, roots)
+    if not mixed.limit(1).count():
+        return roots
+    more = cut_lineage(confirm(cut_lineage(candidates(mixed).distinct(), "pairs")), "linked")
+    return components(links.unionAll(more)) if more.limit(1).count() else roots

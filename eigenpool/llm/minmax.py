@@ -2,10 +2,11 @@
 
 Each permutation of a document's shingle hashes gives two values of the signature, its minimum and
 its maximum, so half as many hashes are computed. Bands of values are the keys of buckets. Documents
-of one bucket are compared on their full sets: first each with the bucket's first document, then,
-where a bucket still holds several components, with one further document of it after another, until
-every document of it either is in the largest component with the others or has met all the others.
-No bucket's pairs are written out, and documents with equal sets are one node from the start.
+with equal sets are one node from the start. Nodes are compared on their full sets, first each with
+the smallest node of its buckets. Buckets that still hold several components then are either small,
+and all their pairs across components are compared, or their nodes go through an exact prefix join:
+two sets that are similar enough share one of their rarest shingles, at places that leave room for
+enough others. So no bucket's pairs are written out however many similar texts it holds.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ PERCENT = 85
 #: Words remembered in one worker, to hash each only once.
 WORD_CACHE = 200_000
 SLICE = 1 << 14
+#: Buckets with more nodes go through the prefix join; its counters of shingles.
+SMALL_BUCKET = 16
+COUNTER_BITS = 20
 
 _rng = np.random.default_rng(8)
 _MULTIPLY = _rng.integers(1, 1 << 63, size=PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -85,19 +89,25 @@ def band_keys(found: np.ndarray) -> np.ndarray:
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = Words()
     for batch in batches:
-        sets = [shingles(t, words) for t in batch["text"].to_pylist()]
+        sizes, digests, keys = [], [], []
+        for text in batch["text"]:
+            found = shingles(text.as_py(), words)
+            sizes.append(len(found))
+            digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
+            keys.append(band_keys(found) if len(found) else None)
         yield pa.RecordBatch.from_arrays([
-            batch["doc_id"], pa.array([len(s) for s in sets], pa.int64()),
-            pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-            pa.array([band_keys(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+            batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
         ], names=["doc_id", "n_shingles", "digest", "keys"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = Words()
     for batch in batches:
-        sets = [shingles(t, words).tobytes() for t in batch["text"].to_pylist()]
-        same = [xxhash.xxh3_128_digest(s) == d for s, d in zip(sets, batch["digest"].to_pylist(), strict=True)]
+        sets, same = [], []
+        for text, digest in zip(batch["text"], batch["digest"].to_pylist(), strict=True):
+            found = shingles(text.as_py(), words).tobytes()
+            same.append(xxhash.xxh3_128_digest(found) == digest)
+            sets.append(found if same[-1] else b"")
         yield pa.RecordBatch.from_arrays([batch["nid"], pa.array(sets, pa.binary())], names=["nid", "shingles"]).filter(pa.array(same, pa.bool_()))
 
 
@@ -124,6 +134,71 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_linked(percent), "a long, b long")
 
 
+def _slot(found: np.ndarray) -> np.ndarray:
+    return (found >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    for batch in batches:
+        for found in batch["shingles"]:
+            np.add.at(total, _slot(np.frombuffer(found.as_buffer(), dtype=np.uint64)), 1)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
+
+
+def _prefixes(counts: np.ndarray, percent: int):
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for found in batch["shingles"]:
+                found = np.frombuffer(found.as_buffer(), dtype=np.uint64)
+                order = np.lexsort((found, counts[_slot(found)]))
+                out.append(found[order[:len(found) - -(-percent * len(found) // 100) + 1]].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch["nid"], batch["n"], batch["root"], pa.array(out, pa.list_(pa.int64()))], names=["nid", "n", "root", "prefix"])
+
+    return prefixes
+
+
+def prefix_pairs(nodes: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) across components among rows (nid, n, root, shingles); no link is missed.
+
+    Shingles are ordered by a count of how often they occur among these nodes, rarest first; the
+    counters are shared by shingles of one slot, which costs no link, as any fixed order will do. If a is the
+    larger set, b the smaller, a link has a first common shingle among the first n_a - t n_a + 1 of a and
+    n_b - 2t / (1 + t) n_b + 1 of b. What stands before it in either set is in one set only, so the
+    places add up to at most the difference that a link may have, and what follows must hold the rest.
+    """
+    found = nodes.select("shingles").mapInArrow(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+    rows = nodes.select("nid", "n", "root", "shingles").mapInArrow(_prefixes(counts, percent), "nid long, n long, root long, prefix array<long>")
+    rows = cut_lineage(rows.select("nid", "n", "root", F.posexplode("prefix").alias("at", "x")), "prefixes")
+    indexed = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
+    large = rows.select("x", *(F.col(c).alias(f"{c}_a") for c in ("nid", "n", "root", "at")))
+    less = rows.where(F.col("at") < indexed).select("x", *(F.col(c).alias(f"{c}_b") for c in ("nid", "n", "root", "at")))
+    room = F.floor((100 - percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    fits = (F.col("root_a") != F.col("root_b")) & (F.struct("n_b", "nid_b") < F.struct("n_a", "nid_a")) & (
+        100 * F.col("n_b") >= percent * F.col("n_a")) & (F.col("at_a") + F.col("at_b") <= room)
+    shared = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    fits = fits & (F.col("n_a") - F.col("at_a") >= shared) & (F.col("n_b") - F.col("at_b") >= shared)
+    return large.join(less, (large["x"] == less["x"]) & fits).select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b"))
+
+
+def bucket_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs across components in rows (key, nid, root): all of small buckets, prefix pairs of the others."""
+    sized = cut_lineage(mixed.join(mixed.groupBy("key").agg(F.count("*").alias("members")), "key"), "sized")
+    few = sized.where(F.col("members") <= SMALL_BUCKET)
+    left, right = few.select("key", F.col("nid").alias("a"), F.col("root").alias("root_a")), few.select("key", F.col("nid").alias("b"), F.col("root").alias("root_b"))
+    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))).select("a", "b")
+    many = sized.where(F.col("members") > SMALL_BUCKET).select("nid", "root").distinct()
+    nodes = cut_lineage(many.join(sets, "nid"), "prefix-nodes")
+    if not nodes.limit(1).count():
+        return pairs
+    return pairs.unionAll(prefix_pairs(nodes, percent))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row (doc_id, text).
 
@@ -145,7 +220,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     met = cut_lineage(buckets.select("nid").distinct().join(nodes, "nid"), "met")
     with_text = docs.join(met, docs["doc_id"].eqNullSafe(met["first_id"])).select("nid", "digest", "text")
     sets = cut_lineage(with_text.mapInArrow(_sets, "nid long, shingles binary").dropDuplicates(["nid"]).join(met.select("nid", "n"), "nid"), "sets")
-    roots = link_nodes(buckets, lambda pairs: confirm(pairs, sets, percent))
+    roots = link_nodes(buckets, lambda pairs: confirm(pairs, sets, percent), lambda mixed: bucket_pairs(mixed, sets, percent))
     if roots is None:
         named = nodes.select("digest", F.col("first_id").alias("component_id"))
     else:

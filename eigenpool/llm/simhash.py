@@ -73,7 +73,15 @@ def near_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     keyed = cut_lineage(prints.select("nid", F.explode(F.array(*tables)).alias("key")), "block-tables")
     shared = keyed.groupBy("key").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi")).where("lo < hi").select("key")
     buckets = cut_lineage(keyed.join(shared, "key"), "block-buckets")
-    roots = link_nodes(buckets, lambda pairs: pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
+
+    def candidates(mixed: DataFrame) -> DataFrame:
+        # the distance is part of the join's condition, so only links leave it
+        left = mixed.select("key", F.col("nid").alias("a"), F.col("root").alias("root_a"))
+        right = mixed.select("key", F.col("nid").alias("b"), F.col("root").alias("root_b"))
+        return left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & near).select("a", "b")
+
+    roots = link_nodes(buckets, lambda pairs: pairs.where(near), candidates)
     return prints.sparkSession.createDataFrame([], "nid long, root long") if roots is None else roots
 
 

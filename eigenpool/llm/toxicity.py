@@ -193,23 +193,22 @@ def fit_texts(texts: list[str], toxic: list[int]) -> Model:
     negative = [w for w, _ in sorted(good.items(), key=lambda x: (-x[1], x[0]))]
     landmarks = list(dict.fromkeys(ranked[:LANDMARKS // 2] + negative[:LANDMARKS // 4] + negative[:: max(1, len(negative) // (LANDMARKS // 4))]))[:LANDMARKS]
     word, gram, value, _ = _features(landmarks)
-    dense = np.zeros((len(landmarks), GRAMS), dtype=np.float32)
-    dense[word, gram] = value
+    known = np.unique(gram)  # only the landmarks' own subsequences count in a kernel with one
+    dense = np.zeros((len(landmarks), len(known)), dtype=np.float32)
+    dense[word, np.searchsorted(known, gram)] = value
     eigen, vectors = np.linalg.eigh(dense @ dense.T)
     root = vectors / np.sqrt(np.maximum(eigen, 1e-6)) @ vectors.T
 
     def nystrom(words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), len(landmarks) + 1))
-        for at in range(0, len(words), 2_000):
-            part = words[at:at + 2_000]
+        out = np.ones((len(words), len(landmarks) + 1), dtype=np.float32)
+        for at in range(0, len(words), 1_000):
+            part = words[at:at + 1_000]
             word, gram, value, _ = _features(part)
-            kernel = np.zeros((len(part), len(landmarks)))
-            used, column = np.unique(gram, return_inverse=True)
-            table = np.zeros((len(part), len(used)), dtype=np.float32)
-            table[word, column] = value
-            kernel = table @ dense[:, used].T
-            out[at:at + 2_000, :-1] = kernel @ root
-        out[:, -1] = 1
+            column = np.minimum(np.searchsorted(known, gram), len(known) - 1)
+            shared = known[column] == gram
+            table = np.zeros((len(part), len(known)), dtype=np.float32)
+            table[word[shared], column[shared]] = value[shared]
+            out[at:at + 1_000, :-1] = table @ dense.T @ root
         return out
 
     # Negatives: the worst word of each clean document so far, and the commonest words of clean documents and an even share of the others.
@@ -237,8 +236,9 @@ def fit_texts(texts: list[str], toxic: list[int]) -> Model:
                 sign.append(np.full(len(names), label))
                 weight.append(n / n.sum())
         w = _solve(np.concatenate(x), np.concatenate(sign), np.concatenate(weight))
-        alpha = root @ w[:-1]
-        model = Model(alpha @ dense, 1.0, 0.0)
+        weights = np.zeros(GRAMS, dtype=np.float32)
+        weights[known] = root @ w[:-1] @ dense
+        model = Model(weights, 1.0, 0.0)
         values = Values(model)
         reached = np.array(values.of(toxic_bags))
         best = [max(bag, key=lambda v: (values.get(v, FLOOR), v)) for bag in toxic_bags]
