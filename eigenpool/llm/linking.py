@@ -7,11 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eigenpool.session import cut_lineage
+from eigenpool.llm.common import partitions
+from eigenpool.session import cut_lineage as write
 
 
 #: Nodes of a bucket with which all its nodes are compared, in each of the first rounds.
 PIVOTS = (1, 4)
+#: Tables of linked nodes are a small share of the corpus and written by this share of its tasks.
+NODE_SHARE = 8
+
+
+def cut_lineage(df: DataFrame, name: str) -> DataFrame:
+    return write(df.coalesce(max(2, partitions(df.sparkSession) // NODE_SHARE)), name)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -43,9 +50,9 @@ def _across(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
         labelled = buckets.withColumn("root", F.col("nid"))
     else:
         labelled = buckets.join(roots, "nid", "left").select("key", "nid", F.coalesce("root", "nid").alias("root"))
-    labelled = cut_lineage(labelled, "labelled")
+    labelled = write(labelled, "labelled")
     mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    return cut_lineage(labelled.join(mixed, "key"), "mixed")
+    return write(labelled.join(mixed, "key"), "mixed")
 
 
 def link_nodes(
@@ -66,11 +73,11 @@ def link_nodes(
         chosen = mixed.groupBy("key", part.alias("part")).agg(F.min(F.struct("nid", "root")).alias("p"))
         chosen = chosen.select("key", F.col("p.nid").alias("a"), F.col("p.root").alias("root_a"))
         pairs = mixed.join(chosen, "key").where("root <> root_a").select(F.least("a", "nid").alias("a"), F.greatest("a", "nid").alias("b"))
-        found = cut_lineage(confirm(cut_lineage(pairs.distinct(), "pairs")), "linked")
+        found = write(confirm(write(pairs.distinct(), "pairs")), "linked")
         links = found if links is None else links.unionAll(found)
         roots = components(links) if links.limit(1).count() else None
     mixed = _across(buckets, roots)
     if not mixed.limit(1).count():
         return roots
-    more = cut_lineage(confirm(cut_lineage(candidates(mixed).distinct(), "pairs")), "linked")
+    more = write(confirm(write(candidates(mixed).distinct(), "pairs")), "linked")
     return components(links.unionAll(more)) if more.limit(1).count() else roots

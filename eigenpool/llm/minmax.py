@@ -34,6 +34,8 @@ SLICE = 1 << 14
 #: Buckets with more nodes go through the prefix join; its counters of shingles.
 SMALL_BUCKET = 16
 COUNTER_BITS = 20
+#: Words of the bitmap of documents met in buckets: 2^24 bits. Once it fills, more texts are read for nothing.
+BITMAP_WORDS = 1 << 18
 
 _rng = np.random.default_rng(8)
 _MULTIPLY = _rng.integers(1, 1 << 63, size=PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -100,15 +102,32 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["doc_id", "n_shingles", "digest", "keys"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = Words()
-    for batch in batches:
-        sets, same = [], []
-        for text, digest in zip(batch["text"], batch["digest"].to_pylist(), strict=True):
-            found = shingles(text.as_py(), words).tobytes()
-            same.append(xxhash.xxh3_128_digest(found) == digest)
-            sets.append(found if same[-1] else b"")
-        yield pa.RecordBatch.from_arrays([batch["nid"], pa.array(sets, pa.binary())], names=["nid", "shingles"]).filter(pa.array(same, pa.bool_()))
+def _slots(first_id):
+    """The place of an id in the bitmap; null ids share one."""
+    return F.pmod(F.xxhash64(F.lit("met"), F.col(first_id)), F.lit(BITMAP_WORDS * 64))
+
+
+def bitmap(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size of the ids (first_id): those it lacks are surely not among them."""
+    words = ids.select(_slots("first_id").alias("s")).groupBy(F.floor(F.col("s") / 64).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits")).toPandas()
+    out = np.zeros(BITMAP_WORDS, dtype=np.int64)
+    out[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    return out.view(np.uint64)
+
+
+def _sets(bits: np.ndarray):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in batches:
+            slot = batch["slot"].to_numpy()
+            hit = np.flatnonzero(bits[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1))
+            found = [shingles(batch["text"][i].as_py(), words).tobytes() for i in hit]
+            yield pa.RecordBatch.from_arrays([
+                batch["doc_id"].take(pa.array(hit)), pa.array([xxhash.xxh3_128_digest(f) for f in found], pa.binary()), pa.array(found, pa.binary())],
+                names=["doc_id", "digest", "shingles"])
+
+    return sets
 
 
 def _linked(percent: int):
@@ -218,8 +237,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = keyed.groupBy("key").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi")).where("lo < hi").select("key")
     buckets = cut_lineage(keyed.join(shared, "key"), "buckets")
     met = cut_lineage(buckets.select("nid").distinct().join(nodes, "nid"), "met")
-    with_text = docs.join(met, docs["doc_id"].eqNullSafe(met["first_id"])).select("nid", "digest", "text")
-    sets = cut_lineage(with_text.mapInArrow(_sets, "nid long, shingles binary").dropDuplicates(["nid"]).join(met.select("nid", "n"), "nid"), "sets")
+    # Only texts that may be met are turned into sets again, so the others' texts cross no shuffle.
+    placed = docs.select("doc_id", _slots("doc_id").alias("slot"), "text")
+    again = placed.mapInArrow(_sets(bitmap(met)), "doc_id long, digest binary, shingles binary")
+    again = again.join(met, (again["digest"] == met["digest"]) & again["doc_id"].eqNullSafe(met["first_id"])).select("nid", "n", "shingles")
+    sets = cut_lineage(again.dropDuplicates(["nid"]), "sets")
     roots = link_nodes(buckets, lambda pairs: confirm(pairs, sets, percent), lambda mixed: bucket_pairs(mixed, sets, percent))
     if roots is None:
         named = nodes.select("digest", F.col("first_id").alias("component_id"))
