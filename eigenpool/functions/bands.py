@@ -24,7 +24,8 @@ def epsilon_band(epsilon: Column) -> Column:
 def hopkins_band(hopkins: Column) -> Column:
     # Limits and wording of the tendency bands.
     return (
-        F.when(hopkins > 0.75, "Strong cluster tendency - data has clear structure")
+        F.when(F.isnan(hopkins), "Low cluster tendency - data may be uniform/random")
+        .when(hopkins > 0.75, "Strong cluster tendency - data has clear structure")
         .when(hopkins > 0.5, "Moderate cluster tendency - some structure present")
         .otherwise("Low cluster tendency - data may be uniform/random")
     )

@@ -17,12 +17,16 @@ ROW_SCHEMA = "run_id bigint, id bigint, cluster int, y array<double>"
 KEPT_RUNS = 20
 HASH_DIGITS = 12
 LOWER_IS_BETTER = ("Davies-Bouldin Index",)
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table, empty where nothing was written yet; anything else that can't be read is an error."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -32,7 +36,9 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run_rows(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, f"{path}/rows", ROW_SCHEMA)
+    """The rows of the kept runs; rows of dropped runs go with them."""
+    kept = read_runs(spark, path).select(F.col("id").alias("run_id"))
+    return _read(spark, f"{path}/rows", ROW_SCHEMA).join(F.broadcast(kept), "run_id", "left_semi")
 
 
 def kept_runs(runs: DataFrame, keep: int = KEPT_RUNS, by: list[str] | None = None) -> DataFrame:
@@ -96,6 +102,8 @@ def _seconds(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
+# The lines of a summary, the columns of the table, the sections of a report and the
+# texts for what is missing, here and in the functions below.
 def run_summary(runs: DataFrame) -> DataFrame:
     """(id, summary): a few lines of text per run; floats with four digits."""
     silhouette = F.col("metrics")["Silhouette Score"]
@@ -137,20 +145,29 @@ def _keys(name: str) -> Column:
     return F.explode(F.array_union(F.map_keys(f"{name}_1"), F.map_keys(f"{name}_2")))
 
 
+def _equal_numbers(a: Column, b: Column) -> Column:
+    """Both texts are plain numbers of one value, as 1 and 1.0 are."""
+    number = lambda text: F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.coalesce(number(a) == number(b), F.lit(False))
+
+
 def config_diff(paired: DataFrame) -> DataFrame:
-    """(run_1, run_2, key, value_1, value_2) for settings that differ; a missing one is NULL."""
+    """(run_1, run_2, key, value_1, value_2) for settings that differ; a missing one is NULL.
+
+    Numbers are compared by value.
+    """
     keyed = paired.where(F.col("error").isNull()).select("run_1", "run_2", "config_1", "config_2", _keys("config").alias("key"))
     values = keyed.select(
         "run_1", "run_2", "key", F.col("config_1")[F.col("key")].alias("value_1"), F.col("config_2")[F.col("key")].alias("value_2")
     )
-    return values.where(~F.col("value_1").eqNullSafe(F.col("value_2")))
+    return values.where(~F.col("value_1").eqNullSafe(F.col("value_2")) & ~_equal_numbers(F.col("value_1"), F.col("value_2")))
 
 
 def metric_diff(paired: DataFrame) -> DataFrame:
     """(run_1, run_2, metric, value_1, value_2, delta, improvement, better).
 
     A missing metric counts as 0. `improvement` is value_2 > value_1 for every metric;
-    `better` also knows the metrics where less is better.
+    `better` also knows the metrics where less is better. Neither holds where a value is NaN.
     """
     keyed = paired.where(F.col("error").isNull()).select("run_1", "run_2", "metrics_1", "metrics_2", _keys("metrics").alias("metric"))
     zero = F.lit(0.0)
@@ -160,7 +177,8 @@ def metric_diff(paired: DataFrame) -> DataFrame:
     )
     gain = F.col("value_2") - F.col("value_1")
     turned = F.when(F.col("metric").isin(*LOWER_IS_BETTER), -gain).otherwise(gain)
-    return values.withColumns({"delta": gain, "improvement": F.col("value_2") > F.col("value_1"), "better": turned > 0})
+    known = ~F.isnan("value_1") & ~F.isnan("value_2")
+    return values.withColumns({"delta": gain, "improvement": known & (F.col("value_2") > F.col("value_1")), "better": known & (turned > 0)})
 
 
 def compare_runs(runs: DataFrame, run_1: int, run_2: int) -> dict[str, DataFrame]:

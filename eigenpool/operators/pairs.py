@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eigenpool.functions.vectors import sq_distance, width
+from eigenpool.functions.vectors import width
 from eigenpool.operators.joins import first_per_group
 from eigenpool.operators.tiles import (
     BLOCK_ROWS, DIRECT_WIDTH, Blocks, Copies, build_blocks, fold_copies, own_tiles, run_tiles,
@@ -288,20 +289,23 @@ def knn_join(points: DataFrame, k: int, include_self: bool = False, block_rows:
 
 
 def nearest_center(points: DataFrame, centers: Sequence[Sequence[float]]) -> DataFrame:
-    """Adds (cluster, d2): the closest of a short list of centres, ties to the lower number."""
-    options = F.array(
-        *[
-            F.struct(
-                sq_distance(F.col("f"), F.array(*[F.lit(float(v)) for v in c])).alias("d2"),
-                F.lit(i).alias("cluster"),
-            )
-            for i, c in enumerate(centers)
-        ]
-    )
-    best = F.array_min(options)
-    return points.withColumn("__best", best).select(
-        *points.columns, F.col("__best.cluster").alias("cluster"), F.col("__best.d2").alias("d2")
-    )
+    """Adds (cluster, d2): the closest centre, ties to the lower number."""
+    columns = points.columns
+    found = T.StructType([*points.schema.fields, T.StructField("cluster", T.IntegerType()), T.StructField("d2", T.DoubleType())])
+    centres = np.array([[float(v) for v in c] for c in centers])
+
+    def closest(batches):
+        for batch in batches:
+            f = batch.column(columns.index("f"))
+            x = np.asarray(f.flatten()).reshape(len(f), -1) if len(f) else np.zeros((0, centres.shape[1]))
+            best, least = np.zeros(len(x), dtype=np.int32), np.full(len(x), np.inf)
+            for i, c in enumerate(centres):
+                d2 = ((x - c) ** 2).sum(axis=1)
+                nearer = d2 < least
+                best[nearer], least[nearer] = i, d2[nearer]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best), pa.array(least)], names=found.names)
+
+    return points.mapInArrow(closest, found)
 
 
 def compare_tables(

@@ -76,20 +76,20 @@ def variance_ratio(points: DataFrame) -> DataFrame:
 
 
 def outlier_flags(points: DataFrame) -> DataFrame:
-    """(id, zscore, iqr, combined): per row, does any feature stand out."""
+    """(id, zscore, iqr, combined): per row, does any feature stand out; missing cells never do."""
     stats, _ = _moments(points)
     d = len(stats)
     columns = [f"x{i}" for i in range(d)]
     quartiles = exact_quantiles(points.select(*[F.col("f")[i].alias(c) for i, c in enumerate(columns)]), columns, [0.25, 0.75])
     z, q = [], []
     for i, (s, c) in enumerate(zip(stats, columns)):
-        x = F.col("f")[i]
+        x = F.nanvl(F.col("f")[i], F.lit(None).cast("double"))
         if s["std"] and s["std"] > 0:
-            z.append(F.abs(x - F.lit(s["mean"])) / F.lit(s["std"]) > Z_LIMIT)
+            z.append(F.coalesce(F.abs(x - F.lit(s["mean"])) / F.lit(s["std"]) > Z_LIMIT, F.lit(False)))
         low, high = quartiles[c]
         if low is not None:
             fence = IQR_FACTOR * (high - low)
-            q.append((x < F.lit(low - fence)) | (x > F.lit(high + fence)))
+            q.append(F.coalesce((x < F.lit(low - fence)) | (x > F.lit(high + fence)), F.lit(False)))
     either = lambda tests: reduce(lambda a, b: a | b, tests, F.lit(False))
     return points.select("id", either(z).alias("zscore"), either(q).alias("iqr")).withColumn(
         "combined", F.col("zscore") | F.col("iqr")

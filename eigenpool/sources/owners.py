@@ -18,7 +18,12 @@ from eigenpool.operators.joins import first_per_group, join_groups, with_positio
 from eigenpool.operators.prepare import NO_NUMERIC
 
 # Texts read as missing.
-MISSING = ["", "#N/A", "#NA", "N/A", "NA", "NULL", "NaN", "None", "nan", "n/a", "null", "<NA>"]
+MISSING = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+    "NaN", "None", "n/a", "nan", "null",
+]
+# Fixed value: what counts as a number; a cast alone takes suffixes such as 12d.
+NUMBER = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))$"
 
 HEADER_READS = 16
 PLACE = ["__file", "__block", "__line"]
@@ -89,7 +94,7 @@ def read_owner_csvs(spark: SparkSession, paths: Sequence[str]) -> OwnerTables:
     for header, group in by_header.items():
         columns = list(header)
         cells = _scan(spark, group, columns)
-        number = {c: F.expr(f"try_cast(`{c}` AS DOUBLE)") for c in columns}
+        number = {c: F.when(F.col(f"`{c}`").rlike(NUMBER), F.col(f"`{c}`").try_cast("double")) for c in columns}
         facts = cells.groupBy("owner").agg(
             F.max("__long").alias("long_row"),
             *[

@@ -7,18 +7,22 @@ from eigenpool.operators.joins import join_groups, with_position
 from eigenpool.operators.quantiles import exact_quantiles
 from eigenpool.sources import generate, owners
 
-MESSY = [("o", 0, 1.0, 10.0, "ignore"), ("o", 1, float("nan"), 20.0, "strings"), ("o", 2, 3.0, 30.0, "please"), ("o", 3, 100.0, 400.0, "ok")]
+MESSY = [
+    ("o", 0, "north", 7.5, -2.0), ("o", 1, "east", 0.25, float("nan")), ("o", 2, None, float("nan"), 6.0), ("o", 3, "west", 12.0, 9.5),
+    ("o", 4, "north", -3.0, 0.0),
+]
 
 
 @pytest.fixture(scope="module")
 def messy(spark):
-    return spark.createDataFrame(MESSY, "owner string, id bigint, A double, B double, C string")
+    return spark.createDataFrame(MESSY, "owner string, id bigint, side string, depth double, shift double")
 
 
 def test_adapt_fills_scales_and_drops_text(messy):
     points = prepare.adapt(messy).points.orderBy("id").collect()
-    a, b = np.array([1.0, 104 / 3, 3.0, 100.0]), np.array([10.0, 20.0, 30.0, 400.0])
-    want = np.stack([(a - a.mean()) / a.std(), (b - b.mean()) / b.std()], axis=1)
+    cells = np.array([r[3:] for r in MESSY])
+    cells = np.where(np.isnan(cells), np.nanmean(cells, axis=0), cells)
+    want = (cells - cells.mean(axis=0)) / cells.std(axis=0)
     assert np.allclose([p["f"] for p in points], want)
 
 
@@ -90,9 +94,13 @@ def test_quantiles_are_exact_also_beyond_the_direct_limit(spark, direct):
 def test_owner_files_with_other_headers_and_bad_files(spark, tmp_path):
     (tmp_path / "one.csv").write_text("x,y,note\n1,10,a\n2,,b\n\n3,30,c\n")
     (tmp_path / "two.csv").write_text("y,x,note\n40,4,7\n50,5,8\n")
+    (tmp_path / "codes.csv").write_text("x,y,note\n8,12d,-1.#IND\n9,7F,5e-1\n#N/A N/A,0x1p3,-nan\n")
     (tmp_path / "text.csv").write_text("x,y\na,b\nc,d\n")
     (tmp_path / "ragged.csv").write_text("x,y\n1,2\n3,4,5\n")
     (tmp_path / "empty.csv").write_text("")
+    codes = owners.read_owner_csvs(spark, [str(tmp_path / "codes.csv")]).rows
+    assert codes.where("y is not null").count() == 0  # numbers with a suffix are codes
+    assert [(r["x"], r["note"]) for r in codes.orderBy("id").collect()] == [(8.0, None), (9.0, 0.5), (None, None)]
     names = ["one", "two", "text", "ragged", "empty", "missing"]
     read = owners.read_owner_csvs(spark, [str(tmp_path / f"{n}.csv") for n in names])
     ok = {r["owner"]: r["ok"] for r in read.status.collect()}

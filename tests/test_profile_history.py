@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from eigenpool.functions import bands
 from eigenpool.operators import history, profile
 from helpers import frame
 
@@ -43,9 +44,9 @@ def test_histogram_keeps_empty_bins(spark):
 
 
 def test_noise_does_not_hide_repeated_values(spark):
-    df = spark.createDataFrame([(i, float(i % 5 + 1)) for i in range(100)], "id bigint, v double")
+    df = spark.createDataFrame([(i, float(3 * (i % 7) + 2)) for i in range(84)], "id bigint, v double")
     rows = {r["stage"]: (r["n_distinct"], r["top_count"]) for r in profile.frequency_audit(df, "id", "v", seed="1").collect()}
-    assert rows["raw"] == (5, 20) and rows["recovered"] == (5, 20) and rows["noised"][0] > 50
+    assert rows["raw"] == (7, 12) and rows["recovered"] == (7, 12) and rows["noised"][0] > 50
 
 
 @pytest.fixture()
@@ -86,6 +87,31 @@ def test_history_round(spark, log, tmp_path):
     assert history.read_runs(spark, path).count() == 0 and add(0.1, k=2) == 0
 
 
+def test_nan_scores_never_improve_and_numbers_compare_by_value(spark, log):
+    path, add = log
+    add(0.5, k=1, sigma=2, backend="mock")
+    add(float("nan"), k=1.0, sigma=3, backend="mock")
+    found = history.compare_runs(history.read_runs(spark, path), 0, 1)
+    assert [r["key"] for r in found["config_diff"].collect()] == ["sigma"]
+    assert not any(r["improvement"] or r["better"] for r in found["metric_diff"].collect())
+
+
+def test_rows_go_with_their_runs(spark, log):
+    path, add = log
+    for _ in range(history.KEPT_RUNS + 2):
+        add(0.5, k=2)
+    kept = {r["run_id"] for r in history.read_run_rows(spark, path).select("run_id").distinct().collect()}
+    assert kept == set(range(2, history.KEPT_RUNS + 2))
+
+
+def test_missing_cells_are_no_outliers(spark):
+    x = [[float(i % 4), 1.0 * (i % 3)] for i in range(40)] + [[float("nan"), 1.0], [500.0, 1.0]]
+    flags = {r["id"]: r for r in profile.outlier_flags(frame(spark, x)).collect()}
+    assert not flags[40]["combined"] and flags[41]["iqr"]
+    cells = spark.createDataFrame([(float("nan"),), (0.9,)], "h double").select(bands.hopkins_band(F.col("h")).alias("b"))
+    assert [r["b"][:3] for r in cells.collect()] == ["Low", "Str"]
+
+
 def test_only_twenty_runs_are_kept(spark):
     runs = spark.range(30).select("id", (F.col("id") % 2).alias("log"))
     assert sorted(r["id"] for r in history.kept_runs(runs).collect()) == list(range(10, 30))
@@ -93,10 +119,10 @@ def test_only_twenty_runs_are_kept(spark):
 
 
 def test_report_rows(spark):
-    metrics = spark.createDataFrame([("Score", 0.95)], "metric string, value double")
-    config = spark.createDataFrame([("k", "3")], "key string, value string")
+    metrics = spark.createDataFrame([("Purity", 0.4375)], "metric string, value double")
+    config = spark.createDataFrame([("sigma", "2.5")], "key string, value string")
     rows = [(r["section"], r["line"]) for r in history.report_rows(metrics, config).collect()]
-    assert rows == [("1. System Configuration", "k: 3"), ("2. Clustering Quality Metrics", "Score: 0.9500")]
+    assert rows == [("1. System Configuration", "sigma: 2.5"), ("2. Clustering Quality Metrics", "Purity: 0.4375")]
     empty = history.report_rows(metrics.where("value > 1"), config).collect()
     assert empty[1]["line"] == "No metrics available."
 
