@@ -103,27 +103,24 @@ def kernel(d2: np.ndarray, sigma: float, same: bool) -> np.ndarray:
 
 
 def affinity_summary(copies: Copies, sigma: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Per folded row of the full affinity matrix W: (gid, degree, squares, least).
+    """Per folded row of the full affinity matrix W: (gid, degree, squares).
 
-    degree = sum of the row of W (copies counted), squares = sum of its squares,
-    least = its smallest weight over all rows.
+    degree = sum of the row of W (copies counted), squares = sum of its squares. Blocks too
+    far apart to add more than rounding error are not paired.
     """
     blocks = build_blocks(copies.groups.select("gid", "f", "m"), copies.n_groups, block_rows=block_rows)
 
     def tile(a, b, same):
         w = kernel(sq_distances(a.x, b.x), sigma, same)
-        parts = [(a["gid"], w @ b["m"], (w * w) @ b["m"], w.min(1))]
+        parts = [(a["gid"], w @ b["m"], (w * w) @ b["m"])]
         if not same:
-            parts.append((b["gid"], w.T @ a["m"], (w * w).T @ a["m"], w.min(0)))
-        return dict(zip(["gid", "degree", "squares", "least"], [np.concatenate(c) for c in zip(*parts)]))
+            parts.append((b["gid"], w.T @ a["m"], (w * w).T @ a["m"]))
+        return dict(zip(["gid", "degree", "squares"], [np.concatenate(c) for c in zip(*parts)]))
 
-    parts = run_tiles(
-        blocks, tile_plan(blocks), tile, "gid bigint, degree double, squares double, least double"
-    )
+    plan = tile_plan(blocks, affinity_reach(sigma, copies.n_rows))
+    parts = run_tiles(blocks, plan, tile, "gid bigint, degree double, squares double")
     return parts.groupBy("gid").agg(
-        F.greatest(F.sum("degree"), F.lit(1e-9)).alias("degree"),
-        F.sum("squares").alias("squares"), F.min("least").alias("least"),
-    )
+        F.greatest(F.sum("degree"), F.lit(1e-9)).alias("degree"), F.sum("squares").alias("squares"))
 
 
 def affinity_degrees(copies: Copies, sigma: float, blocks: Blocks | None = None, plan: DataFrame | None = None) -> DataFrame:

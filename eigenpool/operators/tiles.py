@@ -21,6 +21,8 @@ from eigenpool.functions.vectors import width
 from eigenpool.session import cut_lineage
 
 BLOCK_ROWS = 2048
+#: With at most this many blocks the plan has half a million rows of two numbers and may be broadcast.
+BROADCAST_BLOCKS = 1000
 MAX_PIVOTS = 2048
 DIRECT_WIDTH = 24
 
@@ -216,6 +218,8 @@ def run_tiles(blocks: Blocks, plan: DataFrame | None, fn: Callable, schema: str)
         keyed = rows.select("*", F.lit(0).alias("b"), F.lit(0).alias("c"), F.lit(0).alias("side"))
         keyed = keyed.repartition(1)
     else:
+        if blocks.count > BROADCAST_BLOCKS:
+            plan = plan.hint("merge")  # Spark takes a generated table for smaller than it is
         left = rows.join(plan, F.col("block") == F.col("b")).withColumn("side", F.lit(0))
         right = rows.join(plan.where("b < c"), F.col("block") == F.col("c")).withColumn("side", F.lit(1))
         tiles = blocks.count * (blocks.count + 1) // 2

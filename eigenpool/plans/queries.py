@@ -301,14 +301,14 @@ W_ROWS = f"""z AS MATERIALIZED ({PART_Z}),
   w AS (SELECT a.id AS i, b.id AS j, exp(-{D2} / 2) AS w FROM z a, z b)"""
 
 
-@query(f"""WITH {W_ROWS} SELECT i AS id, {rd('sum(w)', 'degree')}, {rd('sum(w * w)', 'squares')}, {rd('min(w)', 'least')}
+@query(f"""WITH {W_ROWS} SELECT i AS id, {rd('sum(w)', 'degree')}, {rd('sum(w * w)', 'squares')}
 FROM w GROUP BY i""")
 def gaussian_affinity(spark, folder):
     points = part_standard(spark, folder)
     copies = fold_copies(points)
     rows = pairs.affinity_summary(copies, 1.0).join(copies.groups.select("gid", "f", "m"), "gid").drop("gid")
     out = joins.join_groups(points, rows, ["f"], "m")
-    return out.select("id", *[r4(F.col(c)).alias(c) for c in ("degree", "squares", "least")])
+    return out.select("id", *[r4(F.col(c)).alias(c) for c in ("degree", "squares")])
 
 
 SPARSE = f"""z AS MATERIALIZED ({FOLDED}),
