@@ -20,8 +20,8 @@ WINDOW = 8
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
 #: Distances above which a document fails, and the lengths from which they count.
-CLASS_LIMIT, CLASS_CHARACTERS = 0.5, 200
-WORD_LIMIT, WORD_WORDS = 0.8, 100
+CLASS_LIMIT, CLASS_CHARACTERS = 0.3, 200
+WORD_LIMIT, WORD_WORDS = 0.4, 100
 
 # Common words of the reference languages.
 COMMON = {
