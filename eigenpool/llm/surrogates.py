@@ -32,6 +32,8 @@ TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora|Signor
 NAME = rf"(?<!\p{{L}})(?:{TITLES})\.?\x20\p{{Lu}}[\p{{L}}'-]+(?:\x20\p{{Lu}}[\p{{L}}'-]+)?"
 KINDS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "name": NAME}
 ANY = "|".join(KINDS.values())
+#: Every entity has an @, a digit or a title; texts without are passed over quickly.
+HINT = rf"[0-9@]|(?:{TITLES})\.?\x20\p{{Lu}}"
 # Letters a surrogate's letters are drawn from, by script; others stay in their case's Latin.
 LATIN, CYRILLIC, GREEK = "abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщыэюя", "αβγδεζηθικλμνξοπρστυφχψω"
 
@@ -154,7 +156,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     none = F.array().cast("array<string>")
-    found = F.when(F.col("text").rlike(ANY), F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).otherwise(none)
+    found = F.when(F.col("text").rlike(HINT) & F.col("text").rlike(ANY), F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).otherwise(none)
     named = lambda e: F.struct(kind_of(e).alias("kind"), canonical(e).alias("form"))
     entities = rows.select(F.explode(F.array_distinct(found)).alias("e")).select(named(F.col("e")).alias("e")).select("e.*").distinct()
     given = assign(entities, key)
