@@ -145,11 +145,11 @@ def _linked(percent: int):
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough; `sets` is (nid, n, shingles)."""
-    size = sets.select("nid", "n")
-    fit = pairs.join(size.toDF("a", "n_a"), "a").join(size.toDF("b", "n_b"), "b").where(
-        F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).select("a", "b")
-    full = sets.select("nid", "shingles")
-    both = fit.join(full.toDF("b", "set_b"), "b").join(full.toDF("a", "set_a"), "a").select("a", "b", "set_a", "set_b")
+    full = sets.select("nid", "n", "shingles")
+    with_b = pairs.join(full.toDF("b", "n_b", "set_b"), "b")
+    right = full.toDF("own", "n_a", "set_a")
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    both = with_b.join(right, (F.col("a") == F.col("own")) & fits).select("a", "b", "set_a", "set_b")
     return both.mapInArrow(_linked(percent), "a long, b long")
 
 
