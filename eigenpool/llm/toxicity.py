@@ -253,6 +253,14 @@ def fit_texts(texts: list[str], toxic: list[int]) -> Model:
     return model
 
 
+def sample(labels: DataFrame) -> DataFrame:
+    """About FIT_DOCUMENTS of the rows (doc_id, toxic) of each label, by a hash of the id: few enough to broadcast."""
+    labels = labels.where("toxic is not null").select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"))
+    n = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
+    rate = F.when(F.col("toxic") == 1, min(1.0, FIT_DOCUMENTS / n.get(1, 1))).otherwise(min(1.0, FIT_DOCUMENTS / n.get(0, 1)))
+    return labels.where(unit(F.lit("toxicity"), F.col("doc_id")) < rate)
+
+
 def fit(rows: DataFrame) -> Model:
     """Learns from rows (doc_id, text, toxic); null texts or labels are left out.
 
