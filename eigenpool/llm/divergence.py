@@ -3,12 +3,14 @@
 A document's histograms of character classes and of common words are compared with those of each
 reference language by the Jensen-Shannon distance (square root of the divergence to base 2, 0 to 1).
 References are sums over the whole input. A document fails where its nearest language is too far in
-either histogram, unless it is too short for the histogram to mean anything.
+either histogram, unless it is too short for the histogram to mean anything. Too few common words
+can't lead far from a reference that holds few itself, so the limit for them follows from the references.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from math import log2, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,9 @@ REPEAT_PERCENT = 30
 #: Distances above which a document fails, and the lengths from which they count.
 CLASS_LIMIT, CLASS_CHARACTERS = 0.3, 200
 WORD_LIMIT, WORD_WORDS = 0.4, 100
+#: A document with fewer common words than any reference fails above this share of the distance that one
+#: without any would have to the nearest.
+LACK_SHARE = 0.83
 
 # Common words of the reference languages.
 COMMON = {
@@ -129,6 +134,14 @@ def word_distance(share: list[float]) -> Column:
         + _term(F.greatest(F.lit(0.0), 1 - s["p"]), F.lit(max(0.0, 1 - known))))))
 
 
+def lack_limit(shares: list[list[float]]) -> tuple[float, float]:
+    """(least share of common words in a reference, distance above which a document with fewer fails)."""
+    least = min(min(1.0, sum(share)) for share in shares)
+    rest = 1 - least
+    without = (least + (rest * log2(2 * rest / (1 + rest)) if rest > 0 else 0.0) + log2(2 / (1 + rest))) / 2
+    return least, LACK_SHARE * sqrt(max(0.0, without))
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """Measures and verdict for every row (doc_id, text, lang).
 
@@ -151,7 +164,11 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("base_failed", failed)
     rows = rows.withColumn("class_distance", F.when(F.col("n_chars") > 0, nearest(0, class_distance)))
     rows = rows.withColumn("word_distance", F.when(F.col("n_words") > 0, nearest(1, word_distance)))
-    strange = ((F.col("n_chars") >= CLASS_CHARACTERS) & (F.col("class_distance") > CLASS_LIMIT)) | (
-        (F.col("n_words") >= WORD_WORDS) & (F.col("word_distance") > WORD_LIMIT))
+    far = F.col("word_distance") > WORD_LIMIT
+    if known:
+        least, limit = lack_limit([share[1] for share in known.values()])
+        n_common = F.aggregate("counts", F.lit(0.0), lambda s, x: s + x["n"])
+        far = far | ((n_common < least * F.col("n_words")) & (F.col("word_distance") > limit))
+    strange = ((F.col("n_chars") >= CLASS_CHARACTERS) & (F.col("class_distance") > CLASS_LIMIT)) | ((F.col("n_words") >= WORD_WORDS) & far)
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                        "class_distance", "word_distance", (~F.col("base_failed") & ~F.coalesce(strange, F.lit(False))).alias("kept"))

@@ -341,6 +341,30 @@ def test_divergence_is_jensen_shannon(spark):
         assert got[i] == pytest.approx(np.sqrt((kl(p) + kl(q)) / 2), abs=1e-6)
 
 
+def test_long_texts_without_common_words_fail(spark):
+    rng = random.Random(12)
+    made = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randrange(4, 9)))
+    clean, langs = [], []
+    for lang, common in divergence.COMMON.items():
+        for _ in range(30):
+            clean.append(" ".join(rng.choice(common) if rng.random() < 0.2 else made() for _ in range(300)))
+            langs.append(lang)
+    gibberish = [" ".join(made() for _ in range(n)) for n in (120, 300, 2_000)]
+    few = [" ".join([*(made() for _ in range(290)), *"the of and".split()])]
+    odd = gibberish + few + [" ".join(made() for _ in range(divergence.WORD_WORDS - 1))]
+    every = clean + odd
+    got = {r["doc_id"]: r for r in divergence.judge(frame(spark, every, langs=langs + [None] * len(odd))).collect()}
+    assert all(got[i]["kept"] for i in range(len(clean)))
+    assert [got[len(clean) + i]["kept"] for i in range(len(odd))] == [False] * 4 + [True]
+    assert not any(got[len(clean) + i]["base_failed"] for i in range(len(odd)))
+    # the limit is a share of the distance of a text without a common word, whatever the references hold
+    least, limit = divergence.lack_limit([[0.1, 0.1], [0.3]])
+    p, q = np.array([0, 1.0]), np.array([0.2, 0.8])
+    kl = lambda x: sum(a * np.log2(a / b) for a, b in zip(x, (p + q) / 2) if a > 0)
+    assert least == pytest.approx(0.2) and limit == pytest.approx(divergence.LACK_SHARE * np.sqrt((kl(p) + kl(q)) / 2))
+    assert divergence.lack_limit([[0.0]]) == (0.0, 0.0)
+
+
 # empty tables
 
 @pytest.mark.parametrize("run", [
