@@ -17,6 +17,9 @@ from eigenpool.session import cut_lineage, scratch_path
 
 COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
 
+#: Share of common shingles from which two documents are near-duplicates.
+NEAR_PERCENT = 80
+
 
 def _columns(docs: DataFrame) -> DataFrame:
     return docs.select(*(F.col(c).cast(kind).alias(c) for c, kind in COLUMNS.items()))
@@ -32,13 +35,13 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates.
+    """Keeps the document with the smallest id of each group of near-duplicates, linked from `NEAR_PERCENT` on.
 
     Documents without words are in no group and stay, and those whose group has null ids alone;
     of rows with equal ids in one group, one stays.
     """
     docs = _columns(docs)
-    found = cut_lineage(minmax.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("k_id")), "kept")
+    found = cut_lineage(minmax.near_duplicates(docs, NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("k_id")), "kept")
     counts = found.agg(F.count("*").alias("n"), F.count_distinct("k_id").alias("ids"), F.count(F.when(F.col("k_id").isNull(), 1)).alias("nulls")).first()
     stay = docs.join(found.where("k_id is not null").distinct(), F.col("doc_id") == F.col("k_id"), "left_semi")
     if counts["n"] - counts["nulls"] > counts["ids"]:

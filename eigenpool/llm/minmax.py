@@ -12,6 +12,7 @@ enough others. So no bucket's pairs are written out however many similar texts i
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,11 @@ from eigenpool.llm.linking import link_nodes
 from eigenpool.session import cut_lineage
 
 SHINGLE = 5
-#: Bands and values a band. A pair at similarity 0.85 misses all buckets with probability 4e-6; one at
-#: 0.5 meets in one with probability 0.3.
-BANDS, BAND_VALUES = 24, 6
-PERMUTATIONS = BANDS * BAND_VALUES // 2
 PERCENT = 85
+#: A pair at the wanted similarity shares no bucket with at most this probability; bands follow from it.
+MISS = 2e-5
+#: Permutations of all bands; as many values a band as fit, since more of them let in fewer pairs below.
+PERMUTATIONS = 100
 #: Words remembered in one worker, to hash each only once.
 WORD_CACHE = 200_000
 SLICE = 1 << 14
@@ -66,40 +67,70 @@ def shingles(text: str | None, words: Words, size: int = SHINGLE) -> np.ndarray:
     return np.unique(mixed)
 
 
-def signature(found: np.ndarray) -> np.ndarray:
+def meets(percent: int, values: int) -> float:
+    """Least probability that a band of so many values is equal for two sets of that similarity or more.
+
+    One permutation's minimum and maximum are both equal with probability i (i - 1) / (u (u - 1)) for
+    i of u shingles in common, so small sets meet least.
+    """
+    pair = 1.0
+    for u in range(2, 1_001):
+        i = -(-percent * u // 100)
+        pair = min(pair, i * (i - 1) / (u * (u - 1)))
+    return pair ** (values // 2) * (percent / 100) ** (values % 2)
+
+
+def bands_for(percent: int) -> tuple[int, int]:
+    """(bands, values a band) for a similarity: 24 of 6 at 85 percent, 32 of 5 at 80."""
+    best = None
+    for values in range(1, 21):
+        chance = meets(percent, values)
+        bands = 1 if chance >= 1 else ceil(log(MISS) / log(1 - chance)) if chance > 0 else PERMUTATIONS + 1
+        if bands * -(-values // 2) <= PERMUTATIONS:
+            best = bands, values
+    if best is None:
+        raise ValueError(f"{PERMUTATIONS} permutations are too few for {percent} percent")
+    return best
+
+
+def signature(found: np.ndarray, permutations: int) -> np.ndarray:
     """Minimum and maximum of the set under each permutation."""
-    low = np.full(PERMUTATIONS, ~np.uint64(0))
-    high = np.zeros(PERMUTATIONS, dtype=np.uint64)
+    low = np.full(permutations, ~np.uint64(0))
+    high = np.zeros(permutations, dtype=np.uint64)
+    multiply, add = _MULTIPLY[:permutations, None], _ADD[:permutations, None]
     for at in range(0, len(found), SLICE):
-        hashed = found[None, at:at + SLICE] * _MULTIPLY[:, None] + _ADD[:, None]
+        hashed = found[None, at:at + SLICE] * multiply + add
         hashed ^= hashed >> np.uint64(32)
         np.minimum(low, hashed.min(axis=1), out=low)
         np.maximum(high, hashed.max(axis=1), out=high)
     return np.stack([low, high], axis=1).reshape(-1)
 
 
-def band_keys(found: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each band of the signature."""
-    bands = signature(found).reshape(BANDS, BAND_VALUES)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
-    for i in range(BAND_VALUES):
+def band_keys(found: np.ndarray, n_bands: int, values: int) -> np.ndarray:
+    """One 64-bit key for each band of the signature; no two bands share a permutation."""
+    bands = signature(found, n_bands * -(-values // 2)).reshape(n_bands, -1)
+    keys = np.arange(1, n_bands + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    for i in range(values):
         keys = (keys ^ bands[:, i]) * np.uint64(0x9E3779B97F4A7C15)
         keys ^= keys >> np.uint64(29)
     return keys.view(np.int64)
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = Words()
-    for batch in batches:
-        sizes, digests, keys = [], [], []
-        for text in batch["text"]:
-            found = shingles(text.as_py(), words)
-            sizes.append(len(found))
-            digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-            keys.append(band_keys(found) if len(found) else None)
-        yield pa.RecordBatch.from_arrays([
-            batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
-        ], names=["doc_id", "n_shingles", "digest", "keys"])
+def _describe(n_bands: int, values: int):
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in batches:
+            sizes, digests, keys = [], [], []
+            for text in batch["text"]:
+                found = shingles(text.as_py(), words)
+                sizes.append(len(found))
+                digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
+                keys.append(band_keys(found, n_bands, values) if len(found) else None)
+            yield pa.RecordBatch.from_arrays([
+                batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+            ], names=["doc_id", "n_shingles", "digest", "keys"])
+
+    return describe
 
 
 def _slots(first_id):
@@ -228,7 +259,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     repeated row gets its document's values. Other columns are ignored; no rows give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    told = cut_lineage(docs.mapInArrow(_describe, "doc_id long, n_shingles long, digest binary, keys array<long>"), "described")
+    told = cut_lineage(docs.mapInArrow(_describe(*bands_for(percent)), "doc_id long, n_shingles long, digest binary, keys array<long>"), "described")
     # Equal sets are one node. Groups are partly aggregated before the shuffle.
     nodes = told.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"))
     nodes = cut_lineage(cut_lineage(nodes, "nodes").withColumn("nid", F.monotonically_increasing_id()), "numbered")

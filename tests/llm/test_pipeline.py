@@ -1,12 +1,13 @@
 """Each stage of the pipeline against brute force on its own input, and the whole run."""
 
+import random
 import re
 
 import pytest
 
 import corpus_pipeline
 from brute import brute_components, brute_spans
-from eigenpool.llm import secret_scan
+from eigenpool.llm import minmax, secret_scan
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -47,6 +48,33 @@ def test_near_duplicate_stage(stages):
     assert sorted(r["doc_id"] for r in after) == sorted(want)
 
 
+def test_near_duplicate_stage_links_pairs_from_80_percent(spark):
+    rng = random.Random(21)
+    texts, alike = [], 0
+    for k in range(60):
+        words = [f"w{rng.randrange(5_000)}" for _ in range(rng.randrange(60, 200))]
+        other = words[:-max(1, round(len(words) * rng.uniform(0.12, 0.22)))]
+        texts += [" ".join(words), " ".join(other)]
+        a, b = ({tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (words, other))
+        alike += 0.80 <= len(a & b) / len(a | b) < 0.85
+    texts += ["a b c d e f g h i", "a b c d e f g h", "p q r s t u v w x", "p q r s t u v"]  # 0.8 and 0.6 of few shingles
+    assert alike >= 20
+    _, roots = brute_components(texts, 80)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
+    got = sorted(r["doc_id"] for r in corpus_pipeline.deduplicate(spark, docs, "unused").collect())
+    assert got == [i for i, root in enumerate(roots) if root == i]
+
+
+def test_bands_miss_few_pairs():
+    assert minmax.bands_for(85) == (24, 6)
+    for percent in (60, 70, 80, 85, 90, 95, 99):
+        bands, values = minmax.bands_for(percent)
+        assert (1 - minmax.meets(percent, values)) ** bands <= minmax.MISS
+    assert minmax.bands_for(100)[0] == 1
+    with pytest.raises(ValueError):
+        minmax.bands_for(5)
+
+
 def test_secret_stage(stages):
     before, after = {r["doc_id"]: r for r in stages[2]}, {r["doc_id"]: r for r in stages[3]}
     assert set(before) == set(after)
