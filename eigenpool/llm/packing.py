@@ -50,6 +50,16 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The tokens that a tokenizer file adds to its vocabulary, with their ids."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    odd = [t["content"] for t in added if t.get("single_word") or t.get("lstrip") or t.get("rstrip")]
+    if odd:
+        raise ValueError(f"added tokens that take blanks or word bounds along: {odd}")
+    return {t["content"]: t["id"] for t in added}
+
+
 def encoder(path: str):
     """The byte-level vocabulary of a tokenizer file, its ids being the ranks of its merges.
 
@@ -59,12 +69,13 @@ def encoder(path: str):
 
     with open(path, encoding="utf-8") as file:
         vocabulary = json.load(file)["model"]["vocab"]
+    added = added_tokens(path)
     # byte-level tokens are written in printable characters, the unprintable bytes in those from 256 on
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     rest = [b for b in range(256) if b not in set(plain)]
     byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
     ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if all(c in byte for c in token)}
-    ranks = {t: i for t, i in ranks.items() if t != b"<|endoftext|>"}  # a special token, ordinary text where it is written
+    ranks = {t: i for t, i in ranks.items() if t.decode("utf-8", "replace") not in added}  # no merge makes an added token
     return tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -74,6 +85,10 @@ class Chunks(dict):
     def __init__(self, path: str):
         super().__init__()
         self.ids, self.before = encoder(path).encode_ordinary, {}
+        added = added_tokens(path)
+        self.added = {t: i.to_bytes(4, "little") for t, i in added.items()}
+        # the longest of those that begin at a place comes first
+        self.bounds = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= CHUNK_CACHE:  # what was used since the last time stays one more time
@@ -86,8 +101,16 @@ class Chunks(dict):
         return got
 
     def encode(self, text: str) -> bytes:
+        """Ids of a text without added tokens; where they are written, they are ordinary text."""
         return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
 
+    def encode_document(self, text: str) -> bytes:
+        """Ids of a text as the tokenizer file gives them: its added tokens first, then what stands between."""
+        if self.bounds is None or not self.bounds.search(text):
+            return self.encode(text)
+        parts = self.bounds.split(text)  # added tokens are at the odd places
+        return b"".join(self.added[part] if i % 2 else self.encode(part) for i, part in enumerate(parts))
+
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH) -> DataFrame:
     """(doc_id, row, piece, start, length, ids_crc32) for every row (doc_id, text), written."""
@@ -100,7 +123,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH)
             out: list[list] = [[] for _ in range(6)]
             ids = batch["doc_id"].to_pylist()
             for i, (doc_id, row, text) in enumerate(zip(ids, batch["row"].to_pylist(), batch["text"], strict=True)):
-                data = chunks.encode(text.as_py() or "") + end
+                data = chunks.encode_document(text.as_py() or "") + end
                 first = (len(data) - 4) % width + 4
                 bounds = [0, *range(first, len(data) + 1, width)]
                 for piece, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):

@@ -247,6 +247,23 @@ def test_chunks_give_the_tokenizers_ids():
         assert np.frombuffer(chunks.encode(text), dtype="<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_as_the_tokenizer_file_has_them(spark):
+    from tokenizers import Tokenizer
+
+    tok, chunks = Tokenizer.from_file(packing.default_vocabulary()), packing.Chunks(packing.default_vocabulary())
+    hard = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>  y", "<|endoftext|><|endoftext|>'s é\n", "<|endoftext|", "plain  text", "",
+            "word " * 70 + "<|endoftext|>" + " more words" * 70]
+    want = [tok.encode(text, add_special_tokens=False).ids for text in hard]
+    assert want[0] == [64, 220, 50256, 275]
+    assert [np.frombuffer(chunks.encode_document(t), dtype="<u4").tolist() for t in hard] == want
+    got = packing.packed(frame(spark, hard), length=64).toPandas()
+    for i, ids in enumerate(want):
+        own = got[got["doc_id"] == i].sort_values("piece")
+        assert own["length"].sum() == len(ids) + 1
+        for _, p in own.iterrows():
+            assert zlib.crc32(np.array([*ids, 0][p["start"]:p["start"] + p["length"]], dtype="<u4").tobytes()) == p["ids_crc32"]
+
+
 # 7
 
 SECRETS = [
