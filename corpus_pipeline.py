@@ -37,16 +37,20 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near-duplicates, linked from `NEAR_PERCENT` on.
 
-    Documents without words are in no group and stay, and those whose group has null ids alone;
-    of rows with equal ids in one group, one stays.
+    Null ids come last; of different texts with that id in one group, the one with the smallest hash stays.
+    Rows are told apart by id and text, and of rows equal in both, one stays. Documents without words are
+    in no group and stay.
     """
     docs = _columns(docs)
-    found = cut_lineage(minmax.near_duplicates(docs, NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("k_id")), "kept")
-    counts = found.agg(F.count("*").alias("n"), F.count_distinct("k_id").alias("ids"), F.count(F.when(F.col("k_id").isNull(), 1)).alias("nulls")).first()
-    stay = docs.join(found.where("k_id is not null").distinct(), F.col("doc_id") == F.col("k_id"), "left_semi")
-    if counts["n"] - counts["nulls"] > counts["ids"]:
-        stay = stay.dropDuplicates(["doc_id"])
-    return stay.unionByName(docs.where("doc_id is null")) if counts["nulls"] else stay
+    found = cut_lineage(minmax.groups(docs, NEAR_PERCENT).select("doc_id", "text_hash", "group"), "grouped")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("first")
+    chosen = found.where("group is not null").groupBy("group").agg(first).select("first.doc_id", "first.text_hash")
+    chosen = chosen.unionByName(found.where("group is null").select("doc_id", "text_hash").distinct())
+    chosen = cut_lineage(chosen.select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash")), "kept")
+    stay = docs.withColumn("own_hash", F.xxhash64("text")).join(chosen, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("own_hash") == F.col("k_hash")), "left_semi")
+    if found.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():
+        stay = stay.dropDuplicates(["doc_id", "own_hash"])
+    return stay.select(*COLUMNS)
 
 
 def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,8 +127,8 @@ def _describe(n_bands: int, values: int):
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 keys.append(band_keys(found, n_bands, values) if len(found) else None)
             yield pa.RecordBatch.from_arrays([
-                batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
-            ], names=["doc_id", "n_shingles", "digest", "keys"])
+                batch["doc_id"], batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+            ], names=["doc_id", "text_hash", "n_shingles", "digest", "keys"])
 
     return describe
 
@@ -249,17 +249,17 @@ def bucket_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.unionAll(prefix_pairs(nodes, percent))
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row (doc_id, text).
+def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, group, component_id) for every row (doc_id, text).
 
-    Documents are linked where 100 * intersection >= percent * union of their shingle sets;
-    `component_id` is the smallest doc_id reachable. Null, empty and wordless texts have no
-    shingles and are linked with nothing, each a component of its own. Null ids never name a
-    component unless all its ids are null; then component_id is null and its rows are kept. A
-    repeated row gets its document's values. Other columns are ignored; no rows give no rows.
+    Documents are linked where 100 * intersection >= percent * union of their shingle sets. `group` is a
+    number of the component, null without shingles; `component_id` is its smallest doc_id. `text_hash` is
+    xxhash64 of the text.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    told = cut_lineage(docs.mapInArrow(_describe(*bands_for(percent)), "doc_id long, n_shingles long, digest binary, keys array<long>"), "described")
+    told = docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _describe(*bands_for(percent)), "doc_id long, text_hash long, n_shingles long, digest binary, keys array<long>")
+    told = cut_lineage(told, "described")
     # Equal sets are one node. Groups are partly aggregated before the shuffle.
     nodes = told.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"))
     nodes = cut_lineage(cut_lineage(nodes, "nodes").withColumn("nid", F.monotonically_increasing_id()), "numbered")
@@ -275,12 +275,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = cut_lineage(again.dropDuplicates(["nid"]), "sets")
     roots = link_nodes(buckets, lambda pairs: confirm(pairs, sets, percent), lambda mixed: bucket_pairs(mixed, sets, percent))
     if roots is None:
-        named = nodes.select("digest", F.col("first_id").alias("component_id"))
+        named = nodes.select("digest", F.col("nid").alias("group"), F.col("first_id").alias("component_id"))
     else:
         rooted = nodes.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
         names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-        named = rooted.join(names, "root").select("digest", "component_id")
+        named = rooted.join(names, "root").select("digest", F.col("root").alias("group"), "component_id")
     out = told.join(cut_lineage(named, "named"), "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "text_hash", "n_shingles", "group", component.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row (doc_id, text).
+
+    Documents are linked where 100 * intersection >= percent * union of their shingle sets;
+    `component_id` is the smallest doc_id reachable. Null, empty and wordless texts have no
+    shingles and are linked with nothing, each a component of its own. Null ids never name a
+    component unless all its ids are null; then component_id is null and its rows are kept. A
+    repeated row gets its document's values. Other columns are ignored; no rows give no rows.
+    """
+    return groups(docs, percent).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -65,6 +65,24 @@ def test_near_duplicate_stage_links_pairs_from_80_percent(spark):
     assert got == [i for i, root in enumerate(roots) if root == i]
 
 
+def test_near_duplicate_stage_goes_by_row(spark):
+    rng = random.Random(5)
+    a, b, c, d, e = (" ".join(f"{k}{rng.randrange(900)}" for _ in range(80)) for k in "abcde")
+    rows = [(5, a), (5, b), (5, b + " x"), (3, b + " y"), (7, c), (7, c), (None, a), (None, d), (None, d + " x"), (None, e), (None, e),
+            (8, ""), (8, ""), (8, " "), (4, c + " z"), (4, a + " z"), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS)
+    for parts in (1, 7):
+        got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.deduplicate(spark, docs.repartition(parts), "unused").collect()]
+        texts_of_d = [g for g in got if g[1] in (d, d + " x")]
+        assert len(texts_of_d) == 1 and texts_of_d[0][0] is None
+        got.remove(texts_of_d[0])
+        # groups: a (5, null, 4), b (5, 5, 3), c (7, 7, 4), d (null, null), e (null, null)
+        assert sorted(got, key=str) == sorted([(4, a + " z"), (3, b + " y"), (4, c + " z"), (None, e), (8, ""), (8, " "), (9, None)], key=str)
+    clean = spark.createDataFrame([(1, a, "en", "s", 5), (1, b, "en", "s", 5), (1, b + " x", "en", "s", 5)], DOCS)
+    got = sorted(r["text"] for r in corpus_pipeline.deduplicate(spark, clean, "unused").collect())
+    assert len(got) == 2 and got[0] == a and got[1].startswith(b)
+
+
 def test_bands_miss_few_pairs():
     assert minmax.bands_for(85) == (24, 6)
     for percent in (60, 70, 80, 85, 90, 95, 99):
