@@ -1,6 +1,6 @@
 """The corpus pipeline: stages over `documents`, each written and read again before the next.
 
-Languages are identified and texts without one go; one document of each group of near-duplicates
+Languages are identified, missing ones filled in, and texts in none of them go; one document of each group of near-duplicates
 stays; secrets are masked; sources are mixed to target weights, documents left out or repeated; and
 what the mix takes is packed into token sequences. All but the last stage return the columns of
 `documents`, whatever others the input has.
@@ -26,12 +26,15 @@ def _columns(docs: DataFrame) -> DataFrame:
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: null texts and texts without a letter.
+    """Drops documents without a language, and writes the language found where `lang` is null.
 
+    Null texts and texts without a letter go, and so do texts whose decoding is ambiguous or whose best codeword
+    loses more than `langid.LOSS_LIMIT`. If more than a hundredth of the held-out texts that have a language would go
+    that way, or there are fewer than two languages, decoding can't tell and only the letterless ones go.
     Where nothing can be learned, because no document has text and language, all go.
     """
     docs = _columns(docs)
-    return langid.accepted(docs, langid.fit(docs))
+    return langid.decided(docs, langid.fit(docs), langid.tells_own(docs))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,8 +7,14 @@ import pytest
 
 import corpus_pipeline
 from brute import brute_components, brute_spans
-from eigenpool.llm import minmax, secret_scan
-
+from eigenpool.llm import langid, minmax, secret_scan
+
+WORDS = {
+    "en": "the house and river with green water under bridge where people walk every morning".split(),
+    "de": "der fluss und das haus mit grünem wasser unter brücke wo menschen jeden morgen gehen".split(),
+    "es": "la casa y el río con agua verde bajo un puente donde gente camina cada mañana".split(),
+    "fr": "la rivière et maison avec eau verte sous le pont où gens marchent chaque matin".split(),
+}
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -40,6 +46,24 @@ def test_language_stage(stages):
     assert plain(after) == plain(r for r in before if r["text"] is not None and re.search(r"[^\W\d_]", r["text"]))
 
 
+def test_language_stage_uses_the_decision(spark):
+    rng, rows = random.Random(3), []
+    for lang in ("de", "en", "es", "fr"):
+        words = WORDS[lang]
+        for _ in range(60):
+            rows.append((len(rows), " ".join(rng.choices(words, k=rng.randrange(15, 60))), lang, "s", 5))
+    odd = [(1_000, "το σπίτι και ποτάμι με νερό κάτω από γέφυρα όπου άνθρωποι περπατούν", None, "s", 5),
+           (1_001, "дом и река с зеленой водой под мостом где люди гуляют", None, "s", 5),
+           (1_002, "12 #", "en", "s", 5), (1_003, None, None, "s", None)]
+    blank = [(2_000 + i, " ".join(rng.choices(WORDS[lang], k=40)), None, "s", 5) for i, lang in enumerate(("de", "en", "es", "fr"))]
+    docs = spark.createDataFrame(rows + odd + blank, DOCS)
+    assert langid.tells_own(docs)
+    got = {r["doc_id"]: tuple(r) for r in corpus_pipeline.identify(spark, docs, "unused").collect()}
+    assert set(got) == {r[0] for r in rows + blank}
+    assert all(got[r[0]] == r for r in rows)
+    assert [got[2_000 + i] for i in range(4)] == [(i, t, lang, s, n) for (i, t, _, s, n), lang in zip(blank, ("de", "en", "es", "fr"))]
+
+
 def test_near_duplicate_stage(stages):
     before, after = stages[1], stages[2]
     rows = sorted(before, key=lambda r: (r["doc_id"] is None, r["doc_id"]))
