@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eigenpool.llm import (
-    divergence, langid, licenses, minmax, mixing, packing, secret_scan, simhash, surrogates, toxicity,
+    divergence, fill_middle, langid, licenses, minmax, mixing, packing, periodic_runs, secret_scan, simhash, surrogates, token_counts, toxicity,
 )
 from eigenpool.llm.common import documents, table
 from eigenpool.session import scratch_path
@@ -131,3 +131,38 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(documents(spark, sf_dir))
+
+
+@query()
+def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(documents(spark, sf_dir))
+
+
+@query()
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(periodic_runs.looped(documents(spark, sf_dir)))
+    best = periodic_runs.longest(F.col("runs"))
+    found = found.withColumn("best", best).withColumn("exponent_milli", F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", "exponent_milli",
+        F.sha2(periodic_runs.listed(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("""
+with docs as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(doc_id::varchar, '')) as d from documents),
+cut as (select doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') as u,
+  ('0x' || d[1:8])::bigint as h1, ('0x' || d[9:16])::bigint as h2, ('0x' || d[17:24])::bigint as h3, ('0x' || d[25:32])::bigint as h4 from docs),
+placed as (select *, len(u)::bigint as n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) as a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) as b from cut),
+parts as (select *, array_to_string(u[1:a], '') as p, array_to_string(u[a + 1:b], '') as m, array_to_string(u[b + 1:], '') as s,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+    when h4 % 100 < 20 then 'spm' else 'psm' end as form from placed)
+select doc_id, n, form, case when form <> 'plain' then length(p)::bigint end as prefix_chars, case when form <> 'plain' then length(m)::bigint end as middle_chars,
+  sha256(case form when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m else t end) as output_sha256,
+  sha256(t) as restored_sha256
+from parts
+""")
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(documents(spark, sf_dir))
+    restored = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
