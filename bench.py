@@ -17,7 +17,7 @@ HEADLINE = [
     "density", "knn_join", "knn_join_with_self", "lof", "lof_severity", "iforest", "contamination_cut",
     "gaussian_affinity", "affinity_entries", "normalized_affinity", "degree_scale", "compare_tables",
     "silhouette", "davies_bouldin", "adjusted_rand", "tune_k", "spectral_cluster_nystrom",
-    "spectral_cluster", "privacy_utility_curve", "report_rows", "compare_runs_metrics", "data_fingerprint",
+    "spectral_cluster", "spectral_cluster_knn", "privacy_utility_curve", "report_rows", "compare_runs_metrics", "data_fingerprint",
 ]
 
 

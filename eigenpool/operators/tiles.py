@@ -21,6 +21,8 @@ from eigenpool.functions.vectors import width
 from eigenpool.session import cut_lineage
 
 BLOCK_ROWS = 2048
+#: Small inputs are cut into this many blocks too: there is one path for all sizes.
+MIN_BLOCKS = 8
 #: With at most this many blocks the plan has half a million rows of two numbers and may be broadcast.
 BROADCAST_BLOCKS = 1000
 MAX_PIVOTS = 2048
@@ -135,8 +137,8 @@ def build_blocks(points: DataFrame, n: int, key: str = "gid", block_rows: int =
     is still too large is split by hash. At most MAX_PIVOTS pivots leave the cluster.
     """
     d = width(points)
-    wanted = math.ceil(n / block_rows)
-    if wanted <= 1:
+    wanted = max(math.ceil(n / block_rows), min(MIN_BLOCKS, n))
+    if wanted <= 1:  # one row
         return Blocks(points.withColumn("block", F.lit(0)), np.zeros((1, d)), np.zeros(1, int), np.array([np.inf]))
     chosen = points.select("f", F.xxhash64(key).alias("h"), key).orderBy("h", key).limit(min(wanted, MAX_PIVOTS))
     pivots = np.array([r["f"] for r in chosen.select("f").collect()], dtype=float)
@@ -164,12 +166,10 @@ def build_blocks(points: DataFrame, n: int, key: str = "gid", block_rows: int =
     return Blocks(rows.drop("cell", "dist"), pivots, pivot_of, radius)
 
 
-def tile_plan(blocks: Blocks, reach: np.ndarray | float = math.inf, own: bool = True) -> DataFrame | None:
+def tile_plan(blocks: Blocks, reach: np.ndarray | float = math.inf, own: bool = True) -> DataFrame:
     """(b, c) with b <= c for block pairs that may hold a pair within reach of either block."""
     spark = blocks.rows.sparkSession
     count = blocks.count
-    if count == 1:
-        return None
     limits = np.broadcast_to(np.asarray(reach, dtype=float), (count,))
     pivots, pivot_of, radius = blocks.pivots, blocks.pivot_of, blocks.radius
     slack = 1e-9 * (1.0 + float(np.abs(pivots).max()))
@@ -189,15 +189,13 @@ def tile_plan(blocks: Blocks, reach: np.ndarray | float = math.inf, own: bool =
     return spark.range(count).mapInArrow(partners, "b int, c int")
 
 
-def own_tiles(blocks: Blocks) -> DataFrame | None:
+def own_tiles(blocks: Blocks) -> DataFrame:
     """Every block paired with itself only."""
-    if blocks.count == 1:
-        return None
     ids = blocks.rows.sparkSession.range(blocks.count)
     return ids.select(F.col("id").cast("int").alias("b"), F.col("id").cast("int").alias("c"))
 
 
-def _side(table: pa.Table) -> Side:
+def side_of(table: pa.Table) -> Side:
     cols = {}
     for name in table.schema.names:
         column = table.column(name)
@@ -210,28 +208,24 @@ def _side(table: pa.Table) -> Side:
     return Side(cols["f"], cols)
 
 
-def run_tiles(blocks: Blocks, plan: DataFrame | None, fn: Callable, schema: str) -> DataFrame:
+def run_tiles(blocks: Blocks, plan: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """fn(left, right, same) -> dict of columns, called once per tile of the plan."""
     rows = blocks.rows
     spark = rows.sparkSession
-    if plan is None:
-        keyed = rows.select("*", F.lit(0).alias("b"), F.lit(0).alias("c"), F.lit(0).alias("side"))
-        keyed = keyed.repartition(1)
-    else:
-        if blocks.count > BROADCAST_BLOCKS:
-            plan = plan.hint("merge")  # Spark takes a generated table for smaller than it is
-        left = rows.join(plan, F.col("block") == F.col("b")).withColumn("side", F.lit(0))
-        right = rows.join(plan.where("b < c"), F.col("block") == F.col("c")).withColumn("side", F.lit(1))
-        tiles = blocks.count * (blocks.count + 1) // 2
-        tasks = min(tiles, max(4 * spark.sparkContext.defaultParallelism, blocks.count))
-        keyed = left.unionByName(right).repartition(tasks, "b", "c")
+    if blocks.count > BROADCAST_BLOCKS:
+        plan = plan.hint("merge")  # Spark takes a generated table for smaller than it is
+    left = rows.join(plan, F.col("block") == F.col("b")).withColumn("side", F.lit(0))
+    right = rows.join(plan.where("b < c"), F.col("block") == F.col("c")).withColumn("side", F.lit(1))
+    tiles = blocks.count * (blocks.count + 1) // 2
+    tasks = min(tiles, max(4 * spark.sparkContext.defaultParallelism, blocks.count))
+    keyed = left.unionByName(right).repartition(tasks, "b", "c")
     names = [part.strip().split(" ")[0] for part in schema.split(",")]
 
     def tile(table: pa.Table) -> pa.Table:
         sides = table.column("side").to_numpy()
         same = table.column("b")[0].as_py() == table.column("c")[0].as_py()
-        left = _side(table.filter(pa.array(sides == 0)))
-        right = left if same else _side(table.filter(pa.array(sides == 1)))
+        left = side_of(table.filter(pa.array(sides == 0)))
+        right = left if same else side_of(table.filter(pa.array(sides == 1)))
         out = fn(left, right, same)
         return pa.table({name: out[name] for name in names})
 

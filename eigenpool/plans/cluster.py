@@ -18,7 +18,7 @@ from eigenpool.operators.kmeans import kmeans
 from eigenpool.operators.matrix import degree_scale, laplace_noise, row_normalize
 from eigenpool.operators.pairs import EPS, kernel, knn_groups
 from eigenpool.operators.quality import quality
-from eigenpool.operators.tiles import BLOCK_ROWS, Copies, fold_copies, list_matrix, sq_distances
+from eigenpool.operators.tiles import BLOCK_ROWS, Copies, build_blocks, fold_copies, list_matrix, sq_distances
 from eigenpool.session import cut_lineage
 
 MODES = ("exact", "nystrom", "knn")
@@ -56,8 +56,11 @@ def exact_embedding(points: DataFrame, k: int, sigma: float, block_rows: int = B
     return Embedding(_to_rows(points, copies, solved.vectors), solved.values, solved.residual)
 
 
-def knn_embedding(points: DataFrame, k: int, sigma: float, neighbours: int = 10, block_rows: int = BLOCK_ROWS, tol: float = 1e-4) -> Embedding:
-    """Gaussian weights on the symmetrised graph of nearest distinct rows; linear storage."""
+def knn_embedding(points: DataFrame, k: int, sigma: float, neighbours: int = 10, block_rows: int = BLOCK_ROWS, tol: float = 1e-6) -> Embedding:
+    """Gaussian weights on the symmetrised graph of nearest distinct rows; linear storage.
+
+    Where the graph falls into at least k components, the k with the most weight span the embedding, and rows of others are zero.
+    """
     copies = fold_copies(points)
     distinct = copies.groups.select(F.col("gid").alias("id"), F.col("f").alias("f", metadata=points.schema["f"].metadata))
     apart = Copies(
@@ -69,13 +72,15 @@ def knn_embedding(points: DataFrame, k: int, sigma: float, neighbours: int = 10,
     scale = -1.0 / (2.0 * sigma * sigma)
     w = both.groupBy("i", "j").agg(F.exp(F.min("d") * F.min("d") * F.lit(scale)).alias("w"))
     counts = copies.groups.select(F.col("gid").alias("i"), F.col("m").alias("mi"))
-    w = w.join(counts, "i").join(counts.toDF("j", "mj"), "j")
+    w = cut_lineage(w.join(counts, "i").join(counts.toDF("j", "mj"), "j"), "arcs")
     degrees = w.groupBy("i").agg(
-        F.greatest(F.sum(F.col("w") * F.col("mj")), F.lit(1e-9)).alias("degree"), F.count(F.lit(1)).alias("n")
+        F.greatest(F.sum(F.col("w") * F.col("mj")), F.lit(1e-9)).alias("degree"), F.count(F.lit(1)).alias("n"), F.first("mi").alias("mi")
     )
-    weighted = degree_scale(w, degrees, -0.5).withColumn("m", F.col("m") * F.sqrt(F.col("mi") * F.col("mj")))
-    m = cut_lineage(weighted.select("i", "j", "m"), "graph")
-    vectors, values, residual = entries_eigen(m, copies.n_groups, k, block_rows, tol=tol)
+    weighted = degree_scale(w, degrees.select("i", "degree", "n"), -0.5).withColumn("m", F.col("m") * F.sqrt(F.col("mi") * F.col("mj")))
+    masses = degrees.select(F.col("i").alias("key"), (F.col("degree") * F.col("mi")).alias("mass"))
+    blocks = build_blocks(copies.groups.select("gid", "f"), copies.n_groups, block_rows=block_rows)
+    homes = blocks.rows.select(F.col("gid").alias("key"), F.col("block").alias("strip"))
+    vectors, values, residual = entries_eigen(weighted.select("i", "j", "m"), copies.n_groups, k, masses, homes, block_rows, tol)
     vectors = (
         vectors.join(copies.groups.select(F.col("gid").alias("key"), F.col("m").alias("copies")), "key")
         .select(F.col("key").alias("gid"), F.transform("y", lambda v: v / F.sqrt("copies")).alias("y"))

@@ -444,6 +444,30 @@ def top_k_eigen(spark, folder):
     return spark.createDataFrame([(i, round(v, 6)) for i, v in enumerate(solved.values)], "rank int, value double").orderBy("rank")
 
 
+THREE = "SELECT CAST(c_nationkey % 3 AS DOUBLE) AS x, count(*) AS m FROM customer GROUP BY 1"
+
+
+@query(f"""WITH g AS ({THREE}), w AS (SELECT a.x AS i, b.x AS j, a.m AS mi, b.m AS mj, exp(-(a.x - b.x) * (a.x - b.x) / 2) AS w FROM g a, g b),
+  d AS (SELECT i, sum(w * mj) AS d FROM w GROUP BY i),
+  t AS (SELECT sum(CASE WHEN w.i = w.j THEN mi * w / a.d ELSE 0 END) - 1 AS s, sum(mi * mj * w * w / (a.d * b.d)) - 1 AS q
+    FROM w JOIN d a ON a.i = w.i JOIN d b ON b.i = w.j)
+SELECT 0 AS rank, 1.0 AS value UNION ALL SELECT 1, {rd('(s + sqrt(2 * q - s * s)) / 2', 'value', 8)} FROM t
+UNION ALL SELECT 2, {rd('(s - sqrt(2 * q - s * s)) / 2', 'value', 8)} FROM t""")
+def eigenvalues_of_three(spark, folder):
+    """On three distinct rows 1, the trace and the sum of squares give all eigenvalues."""
+    rows = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("id"), F.lit("all").alias("owner"), F.array((F.col("c_nationkey") % 3).cast("double")).alias("f", metadata={"features": ["x"]}))
+    values = eigen.top_eigen(fold_copies(rows), 1.0, 3).values
+    return spark.createDataFrame([(i, round(v, 8)) for i, v in enumerate(values)], "rank int, value double")
+
+
+@query()
+def graph_eigenvalues(spark, folder):
+    """Eigenvalues and largest residual of the neighbour graph, which is as fine as a mesh."""
+    found = cluster.knn_embedding(part_standard(spark, folder), 3, 1.0)
+    return spark.createDataFrame([(i, round(v, 6), found.residual < 1e-6) for i, v in enumerate(found.values)], "rank int, value double, settled boolean")
+
+
 @query()
 def kmeans_labels(spark, folder):
     return kmeans(part_standard(spark, folder), 3, column="f").rows.select("id", "cluster")

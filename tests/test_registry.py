@@ -10,7 +10,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 # A spread over the operator families; every query is checked at a larger scale by the driver.
 CHECKED = [
     "adapt", "drop_empty_columns", "gaussian_blobs", "split_parties", "knn_join", "gaussian_affinity", "degree_scale",
-    "compare_tables", "leading_eigenvector", "spectral_partition", "outlier_flags", "hopkins", "silhouette", "lof",
+    "compare_tables", "leading_eigenvector", "eigenvalues_of_three", "spectral_partition", "spectral_partition_knn", "outlier_flags", "hopkins", "silhouette", "lof",
     "contamination_cut", "report_rows", "compare_runs_metrics", "data_fingerprint", "owner_csv_round_trip",
 ]
 
