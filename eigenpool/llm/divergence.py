@@ -5,6 +5,10 @@ reference language by the Jensen-Shannon distance (square root of the divergence
 References are sums over the whole input. A document fails where its nearest language is too far in
 either histogram, unless it is too short for the histogram to mean anything. Too few common words
 can't lead far from a reference that holds few itself, so the limit for them follows from the references.
+
+No reference speaks for a language it isn't of. So another script isn't held against a document: its classes are too far only if they
+stay so with all letters in one class. And few words common in the references aren't held against a document that has common
+words of its own, as prose of any language has: words of letters that it uses three times or more make up `OWN_SHARE` of them.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from math import log2, sqrt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eigenpool.llm.common import BLANK
+from eigenpool.llm.common import BLANK, let
 from eigenpool.session import cut_lineage
 
 WINDOW = 8
@@ -27,6 +31,9 @@ WORD_LIMIT, WORD_WORDS = 0.4, 100
 #: A document with fewer common words than any reference fails above this share of the distance that one
 #: without any would have to the nearest.
 LACK_SHARE = 0.83
+#: Share of a document's words that it uses `OWN_TIMES` or more from which it has common words of its own. Of the documents of sf0.1
+#: with `WORD_WORDS` words or more, 114 of 116 bad ones that lack common words lie below, and 98 % of 2,931 good ones above.
+OWN_SHARE, OWN_TIMES = 0.1, 3
 
 # Common words of the reference languages.
 COMMON = {
@@ -47,6 +54,16 @@ def _without(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
+def own_share(text: Column) -> Column:
+    """The share of words of letters, whatever their case, that the text uses `OWN_TIMES` or more."""
+    def share(words: Column) -> Column:
+        often = lambda x, i: reduce(Column.__or__, [F.get(words, i + a) == F.get(words, i + a + OWN_TIMES - 1) for a in range(1 - OWN_TIMES, 1)])
+        return F.size(F.filter(words, often)) / F.greatest(F.size(words), F.lit(1))
+
+    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{M}]+"), "")
+    return let(F.sort_array(F.transform(words, lambda w: F.xxhash64(w))), share)
+
+
 def measure(docs: DataFrame) -> DataFrame:
     """One written row per document: base measures, class counts and counts of common words."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -72,7 +89,8 @@ def measure(docs: DataFrame) -> DataFrame:
         F.size("words").cast("long").alias("n_words"), F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         _without(F.col("text"), r"[#*$%&|<>]").cast("long").alias("n_symbols"),
         (F.size("filled") - F.size(F.array_distinct("filled"))).cast("long").alias("n_dup_lines"),
-        F.when(repeated, F.col("windows")).alias("windows"), *kinds, counts.alias("counts"))
+        F.when(repeated, F.col("windows")).alias("windows"), *kinds, counts.alias("counts"),
+        F.when(F.size("words") >= WORD_WORDS, own_share(F.col("text"))).alias("own"))
     return cut_lineage(rows, "measures")
 
 
@@ -114,9 +132,14 @@ def _root(divergence: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), divergence)))
 
 
-def class_distance(share: list[float]) -> Column:
+def class_distance(share: list[float], letters_alike: bool = False) -> Column:
+    """Distance of the class histograms; `letters_alike` puts all letters in one class."""
     kinds = [F.col(f"c_{name}").cast("double") / F.col("n_chars") for name in CLASSES]
     kinds.append(F.greatest(F.lit(0.0), 1 - reduce(Column.__add__, kinds)))
+    if letters_alike:
+        of_letters = [name in ("lower", "upper", "letter") for name in [*CLASSES, ""]]
+        join = lambda bins: [sum(x for x, letter in zip(bins, of_letters) if letter), *(x for x, letter in zip(bins, of_letters) if not letter)]
+        kinds, share = join(kinds), join(share)
     return _root(reduce(Column.__add__, [_term(p, F.lit(q)) for p, q in zip(kinds, share, strict=True)]))
 
 
@@ -148,7 +171,8 @@ def judge(docs: DataFrame) -> DataFrame:
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     class_distance, word_distance (null where there is no reference, or nothing to measure), kept.
     Null texts are empty and fail by length. Null and other languages add nothing to the references,
-    and no document's own language is used to judge it. Repeated rows and null ids are rows like
+    and no document's own language is used to judge it. Prose in a language without a reference, also in another script,
+    is left to the base rules. Repeated rows and null ids are rows like
     others; other columns are ignored. Without any reference the base rules decide alone.
     """
     rows = measure(docs)
@@ -169,6 +193,8 @@ def judge(docs: DataFrame) -> DataFrame:
         least, limit = lack_limit([share[1] for share in known.values()])
         n_common = F.aggregate("counts", F.lit(0.0), lambda s, x: s + x["n"])
         far = far | ((n_common < least * F.col("n_words")) & (F.col("word_distance") > limit))
-    strange = ((F.col("n_chars") >= CLASS_CHARACTERS) & (F.col("class_distance") > CLASS_LIMIT)) | ((F.col("n_words") >= WORD_WORDS) & far)
+        far = far & (F.col("own") < OWN_SHARE)
+    other = F.when(F.col("class_distance") > CLASS_LIMIT, nearest(0, lambda share: class_distance(share, letters_alike=True)))
+    strange = ((F.col("n_chars") >= CLASS_CHARACTERS) & F.coalesce(other > CLASS_LIMIT, F.lit(False))) | ((F.col("n_words") >= WORD_WORDS) & far)
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                        "class_distance", "word_distance", (~F.col("base_failed") & ~F.coalesce(strange, F.lit(False))).alias("kept"))
