@@ -30,11 +30,12 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts and texts without a letter go, and so do texts whose decoding is ambiguous or whose best codeword
     loses more than `langid.LOSS_LIMIT`. If more than a hundredth of the held-out texts that have a language would go
-    that way, or there are fewer than two languages, decoding can't tell and only the letterless ones go.
-    Where nothing can be learned, because no document has text and language, all go.
+    that way, decoding can't tell and only the letterless ones go. Where fewer than two languages can be learned,
+    there is nothing to tell apart: all documents stay as they are.
     """
     docs = _columns(docs)
-    return langid.decided(docs, langid.fit(docs), langid.tells_own(docs))
+    model = langid.fit(docs)
+    return langid.decided(docs, model, langid.tells_own(docs)) if len(model.languages) > 1 else docs
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
