@@ -1,6 +1,7 @@
 """Operators against brute force on small texts with nulls, copies, ties and long documents."""
 
 import hashlib
+import ipaddress
 import random
 import re
 import zlib
@@ -116,13 +117,60 @@ def test_surrogates(spark):
 
 def test_surrogates_stay_distinct(spark):
     """Forms so short that draws must meet: all still differ, and none is a real one."""
-    forms = [("email", f"{a}@{b}.de") for a in "abcdefghijklmnopqrst" for b in "xy"] + [("phone", f"1{i:02d}") for i in range(60)]
+    forms = [("mailbox", f"{a}@{b}.de") for a in "abcdefghijklmnopqrst" for b in "xy"] + [("phone", f"1{i:02d}") for i in range(60)]
+    forms += [("word", a) for a in "абвгдежзий"] + [("ip6", f"fe80:0:0:0:0:0:0:{i}") for i in range(1, 10)]
     got = surrogates.assign(spark.createDataFrame(forms, "kind string, form string")).collect()
     made = [(r["kind"], r["surrogate"]) for r in got]
     assert len(got) == len(forms) and len(set(made)) == len(made) and not set(made) & set(forms)
     assert max(r["attempt"] for r in got) > 0
 
 
+PRIVATE = {
+    "plain numbers": "call 255 555 8013, 255.555.8013, +1 (255) 555-8013 or (255) 555-8013",
+    "addresses": "hosts 2001:db8::ff00:42:8329 and 2001:0DB8:0:0:0:FF00:42:8329, ::1 stays, so do std::abc and 12:30:45",
+    "identity": "id 123-45-6789, card 3782-822463-10005",
+    "domains": "write jane@corp.com-based, bob@corp.com; ann@other.com",
+    "mentions": "when John Smith came, Mr Smith and Mrs Smith-Hall met. Smith left; Smithson and McSmith stay",
+    "cyrillic": "Вот г-н Иванов и г-жа Иванова. Иванов ушёл",
+    "uncased": "Mr 王小明 said Dr محمد علي came",
+    "apostrophe": "Ms O'Brien and Ms O'BRIEN",
+    "long": "word " * 100_000 + "a@" + "a." * 50_000 + "b",
+}
+
+
+def test_surrogates_of_all_forms(spark):
+    """Nothing personal stays, spelling and case do, and parts of one entity get one surrogate."""
+    got = dict(zip(PRIVATE, (r["text"] for r in surrogates.replace(frame(spark, list(PRIVATE.values()))).orderBy("doc_id").collect())))
+    find = lambda name, pattern: re.fullmatch(pattern, got[name]).groups()
+    a, b, c, d = find("plain numbers", r"call (\d{3} \d{3} \d{4}), (\d{3}\.\d{3}\.\d{4}), \+1 (\(\d{3}\) \d{3}-\d{4}) or (\(\d{3}\) \d{3}-\d{4})")
+    assert len({re.sub(r"\D", "", x) for x in (a, b, c, d)}) == 1 and re.sub(r"\D", "", a) != "2555558013"
+    short, wide = find("addresses", r"hosts ([0-9a-f:]+) and ([0-9A-F:]+), ::1 stays, so do std::abc and 12:30:45")
+    assert ipaddress.ip_address(short) == ipaddress.ip_address(wide) != ipaddress.ip_address("2001:db8::ff00:42:8329") and "::" in short
+    identity, card = find("identity", r"id (\d{3}-\d{2}-\d{4}), card (\d{4}-\d{6}-\d{5})")
+    assert identity != "123-45-6789" and card != "3782-822463-10005"
+    jane, corp, bob, again, other = find("domains", r"write (\w{4})@(\w{4}\.com)-based, (\w{3})@(\w{4}\.com); \w{3}@(\w{5}\.com)")
+    assert corp == again != "corp.com" and other != "other.com" and jane != "jane" and bob != "bob"
+    given, name, first, second, hall, last = find(
+        "mentions", r"when ([A-Z][a-z]{3}) ([A-Z]\w+) came, Mr (\w+) and Mrs (\w+)-([A-Z]\w+) met\. (\w+) left; Smithson and McSmith stay")
+    assert name == first == last != "Smith" and given != "John" and hall != "Hall"
+    he, she, later = find("cyrillic", r"Вот г-н ([А-Я][а-я]{4}в) и г-жа ([А-Я][а-я]{5}а)\. (\w+) ушёл")
+    assert he == later != "Иванов" and she != "Иванова"
+    assert find("uncased", r"Mr ([\u4e00-\u9fff]{3}) said Dr ([\u0600-\u06ff]{4} [\u0600-\u06ff]{3}) came") != ("王小明", "محمد علي")
+    one, two = find("apostrophe", r"Ms ([A-Z]'[A-Z][a-z]{4}) and Ms ([A-Z]'[A-Z]{5})")
+    assert one.upper() == two and one != "O'Brien"
+    assert got["long"] == PRIVATE["long"]
+
+
+def test_surrogates_depend_on_the_key(spark):
+    rows = frame(spark, [PRIVATE["domains"], "Mr Smith"])
+    texts = lambda key: [r["text"] for r in surrogates.replace(rows, key).orderBy("doc_id").collect()]
+    spark.conf.set(surrogates.KEY_SETTING, "one")
+    try:
+        assert texts(None) == texts("one") != texts("two")
+    finally:
+        spark.conf.unset(surrogates.KEY_SETTING)
+
+
 # 4
 
 def test_licenses(spark):
