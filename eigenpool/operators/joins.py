@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,14 @@ def _row_bytes(groups: DataFrame):
     return total
 
 
+def measure(groups: DataFrame, weight: str, *more: Column) -> Row:
+    """Number of groups, their rows, the largest, the bytes of a group, and `more` aggregates, in one pass."""
+    return groups.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(weight).alias("rows"), F.max(weight).alias("top"),
+        _row_bytes(groups).alias("width"), *more,
+    ).first()
+
+
 def join_groups(
     rows: DataFrame,
     groups: DataFrame,
@@ -33,18 +41,17 @@ def join_groups(
     weight: str,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    size: Row | None = None,
 ) -> DataFrame:
     """Inner join of rows to their group's values; `weight` is the rows per group.
 
-    The group side is measured first. Small enough: broadcast. Otherwise a shuffle join, in
-    which the hot groups (more rows than a fixed share of all, so their number is
-    bounded) go by broadcast and never meet in one task.
+    The group side is measured first, unless `size` is a measure of it or of more groups. Small
+    enough: broadcast. Otherwise a shuffle join, in which the hot groups (more rows than a fixed
+    share of all, so their number is bounded) go by broadcast and never meet in one task.
     """
-    groups = groups.persist()
-    size = groups.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(weight).alias("rows"), F.max(weight).alias("top"),
-        _row_bytes(groups).alias("width"),
-    ).first()
+    if size is None:
+        groups = groups.persist()
+        size = measure(groups, weight)
     if size["n"] * size["width"] <= broadcast_bytes:
         return rows.join(F.broadcast(groups), keys)
     hot_limit = max(hot_rows, (size["rows"] or 0) // HOT_GROUPS)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eigenpool.functions.vectors import no_nan
-from eigenpool.operators.joins import join_groups
+from eigenpool.operators.joins import join_groups, measure
 
 NO_NUMERIC = "No numeric data found in dataset."
 
@@ -123,14 +123,14 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def owner_status(stats: DataFrame, n_columns: int) -> DataFrame:
-    """(owner, ok, error, width) from the moments."""
+def with_status(stats: DataFrame, n_columns: int) -> DataFrame:
+    """Adds to an owner's moments whether it is usable (ok, error) and the columns it has values in (n_used)."""
     present = sum((F.when(F.col(f"n_{i}") > 0, 1).otherwise(0) for i in range(n_columns)), F.lit(0))
     infinite = sum((F.col(f"inf_{i}") for i in range(n_columns)), F.lit(0))
     error = F.when(present == 0, F.lit(NO_NUMERIC)).when(
         infinite > 0, F.lit("Numeric data holds infinite values.")
     )
-    return stats.select("owner", error.isNull().alias("ok"), error.alias("error"), present.alias("width"))
+    return stats.select("*", error.isNull().alias("ok"), error.alias("error"), present.alias("n_used"))
 
 
 def adapt(df: DataFrame, keys: Sequence[str] = ("owner", "id")) -> Prepared:
@@ -143,18 +143,16 @@ def adapt(df: DataFrame, keys: Sequence[str] = ("owner", "id")) -> Prepared:
     """
     names = numeric_columns(df, keys)
     rows = drop_empty_rows(df, keys).select(*keys, *[F.col(f"`{c}`") for c in names])
-    stats = owner_moments(rows, names).persist()
-    status = owner_status(stats, len(names))
-    widths = status.where("ok").select("width").distinct().limit(2).collect()
-    if not widths:
+    stats = with_status(owner_moments(rows, names), len(names)).persist()
+    usable = F.when(F.col("ok"), F.col("n_used"))
+    size = measure(stats, "n_rows", F.min(usable).alias("least"), F.max(usable).alias("most"))
+    if size["most"] is None:
         raise ValueError(NO_NUMERIC)
-    if len(widths) > 1:
+    if size["least"] < size["most"]:
         raise ValueError("owners differ in the number of numeric columns")
-    usable = stats.join(status.where("ok").select("owner"), "owner")
-    joined = join_groups(rows, usable, ["owner"], "n_rows")
+    joined = join_groups(rows, stats.where("ok"), ["owner"], "n_rows", size=size)
     cells = F.filter(F.array(*[_zscore(c, i) for i, c in enumerate(names)]), lambda z: z.isNotNull())
-    full = widths[0]["width"] == len(names)
-    features = names if full else [f"feature_{i}" for i in range(widths[0]["width"])]
+    features = names if size["most"] == len(names) else [f"feature_{i}" for i in range(size["most"])]
     points = joined.select("id", "owner", cells.alias("f", metadata={"features": features}))
     kept = stats.select(
         "owner",
@@ -163,4 +161,5 @@ def adapt(df: DataFrame, keys: Sequence[str] = ("owner", "id")) -> Prepared:
             lambda c: c.isNotNull(),
         ).alias("columns"),
     )
+    status = stats.select("owner", "ok", "error", F.col("n_used").alias("width"))
     return Prepared(points=points, columns=kept, status=status)
