@@ -76,17 +76,6 @@ def silhouette_samples(points: DataFrame, label: str = "cluster", block_rows: in
     return join_groups(coded, shared, ["f", "codes"], "m").select("id", "silhouette")
 
 
-def silhouettes(points: DataFrame, labels: list[str], block_rows: int = BLOCK_ROWS) -> dict[str, float | None]:
-    """Mean silhouette per label column, all from one pass over the pair distances."""
-    copies = fold_copies(_coded(points, labels), ["codes"])
-    rows = (
-        _silhouette_groups(copies, len(labels), block_rows)
-        .groupBy("t").agg((F.sum(F.col("s") * F.col("m")) / F.sum("m")).alias("v")).collect()
-    )
-    found = {r["t"]: r["v"] for r in rows}
-    return {label: found.get(i) for i, label in enumerate(labels)}
-
-
 def mean_silhouette(points: DataFrame, label: str = "cluster", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row (silhouette); no row when there is only one label."""
     copies = fold_copies(_coded(points, [label]), ["codes"])
