@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eigenpool.functions.vectors import width
+from eigenpool.functions.uniform import TWO_32
 from eigenpool.operators.joins import first_per_group, join_groups
 from eigenpool.operators.pairs import knn_groups
 from eigenpool.operators.quantiles import exact_quantiles
@@ -25,6 +26,11 @@ TREE_ROWS = 256
 LEAST_SHARE, MOST_SHARE = 0.01, 0.5
 EULER_GAMMA = 0.5772156649015329
 TINY = 1e-10
+# Draws of sampled rows: modulus, its primitive root, and how many times the wanted rows pass the first cut.
+DRAW_PRIME, DRAW_ROOT = 2_147_483_647, 48_271
+SPARE_DRAWS = 3.0
+#: Path lengths are whole numbers of this fraction.
+LENGTH_UNITS = 1_000_000_000
 
 
 def clamp_contamination(share: float) -> float:
@@ -76,83 +82,108 @@ def _average_path(n: np.ndarray) -> np.ndarray:
     return out
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple[int, float, int, int, float]]:
-    """Random isolation tree as (feature, cut, left, right, depth); feature -1 is a leaf."""
+def _hashed(*parts) -> float:
+    """The draw `uniform` gives for the same parts, outside Spark."""
+    return (int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:8], 16) + 0.5) / TWO_32
+
+
+def grow_tree(x: np.ndarray, seed, tree: int) -> list[tuple[int, int, float, int]]:
+    """A random isolation tree as (node, feature, cut, length), parents first; feature -1 is a leaf.
+
+    Children of node v are 2v and 2v + 1. Feature and cut of a node are hashes of seed, tree and node, so the tree
+    depends on the sampled values alone. Lengths count 1 / LENGTH_UNITS.
+    """
     limit = int(np.ceil(np.log2(max(len(x), 2))))
-    nodes: list = [None]
-    todo = [(0, np.arange(len(x)), 0)]
-    while todo:
-        at, rows, depth = todo.pop()
-        low, high = x[rows].min(0), x[rows].max(0)
-        open_features = np.nonzero(high > low)[0]
-        if depth >= limit or len(rows) <= 1 or not len(open_features):
-            nodes[at] = (-1, 0.0, -1, -1, depth + float(_average_path(np.array([len(rows)]))[0]))
-            continue
-        j = int(rng.choice(open_features))
-        cut = float(rng.uniform(low[j], high[j]))
-        goes_left = x[rows, j] <= cut
-        left, right = len(nodes), len(nodes) + 1
-        nodes += [None, None]
-        nodes[at] = (j, cut, left, right, 0.0)
-        todo += [(left, rows[goes_left], depth + 1), (right, rows[~goes_left], depth + 1)]
+    nodes, level = [], [(1, x)]
+    for depth in range(limit + 1):
+        below = []
+        for node, rows in level:
+            low, high = rows.min(0), rows.max(0)
+            open_features = np.nonzero(high > low)[0]
+            if depth == limit or not len(open_features):
+                nodes.append((node, -1, 0.0, round((depth + float(_average_path(np.array([len(rows)]))[0])) * LENGTH_UNITS)))
+                continue
+            j = int(open_features[int(_hashed(seed, tree, node, "feature") * len(open_features))])
+            cut = float(low[j] + _hashed(seed, tree, node, "cut") * (high[j] - low[j]))
+            if cut >= high[j]:  # rounding; the right side must not be empty
+                cut = float(low[j])
+            nodes.append((node, j, cut, 0))
+            goes_left = rows[:, j] <= cut
+            below += [(2 * node, rows[goes_left]), (2 * node + 1, rows[~goes_left])]
+        level = below
     return nodes
 
 
+def tree_multipliers(trees: int) -> list[tuple[int, int]]:
+    """Two factors a tree: powers of a primitive root of DRAW_PRIME."""
+    powers = list(accumulate([DRAW_ROOT] * (2 * trees), lambda a, b: a * b % DRAW_PRIME))
+    return list(zip(powers[::2], powers[1::2]))
+
+
+def tree_samples(points: DataFrame, trees: int, size: int, n: int, seed) -> DataFrame:
+    """(tree, id, f): for each tree the `size` rows with the smallest draws among n.
+
+    A row's id is hashed once; its draw in a tree is a linear form of two parts of the hash modulo a prime, with the
+    tree's factors. Draws above a few times the wanted share are dropped in the scan, so the shuffle holds a number of rows
+    that doesn't grow with n.
+    """
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string")).cast("binary"))
+    part = lambda at: F.conv(F.substring(digest, at, 7), 16, 10).cast("long")
+    factors = F.array(*[F.struct(F.lit(t).alias("tree"), F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
+                        for t, (a, b) in enumerate(tree_multipliers(trees))])
+    most = int(min(1.0, SPARE_DRAWS * size / n) * DRAW_PRIME)
+    draws = F.transform(factors, lambda t: F.struct(t["tree"].alias("tree"), ((F.col("_a") * t["a"] + F.col("_b") * t["b"]) % DRAW_PRIME).alias("draw")))
+    low = F.filter(draws, lambda d: d["draw"] <= most)
+    drawn = points.select("id", "f", part(1).alias("_a"), part(8).alias("_b")).select("id", "f", F.inline(low))
+    return first_per_group(drawn, ["tree"], ["draw", "id"], size).select("tree", "id", "f")
+
+
 def iforest(points: DataFrame, trees: int = FOREST_TREES, tree_rows: int = TREE_ROWS, seed: int = 42) -> DataFrame:
     """(id, severity): isolation forest score, higher is more anomalous.
 
-    A hash of (tree, id) picks each tree's rows, whatever the partitioning; only a small
-    multiple of the needed rows is shuffled. The forest has a fixed size, so it is sent
-    to the scoring tasks.
+    Samples, features and cuts are hashes, whatever the partitioning, and path lengths are summed as whole numbers, so
+    equal rows get equal scores. The forest has a fixed size, so it is sent to the scoring tasks.
     """
     n = points.count()
     if not n:
         raise ValueError("no rows to score")
-    d = width(points)
     size = min(tree_rows, n)
-    share = min(1.0, 3.0 * size / n)
-    draw = F.expr(
-        f"filter(transform(sequence(0, {trees - 1}), t -> "
-        f"named_struct('tree', t, 'h', pmod(xxhash64({seed}, t, id), 1000000007))), s -> s.h <= {share} * 1000000007)"
-    )
-    drawn = points.select("id", "f", F.explode(draw).alias("s")).select("id", "f", "s.tree", "s.h")
-    chosen = first_per_group(drawn, ["tree"], ["h", "id"], size).select("tree", "id", "f")
 
     def grow(table: pa.Table) -> pa.Table:
-        table = table.sort_by("id")
         tree = table.column("tree")[0].as_py()
-        nodes = grow_tree(list_matrix(table.column("f")), np.random.default_rng([seed, tree]))
-        cols = list(zip(*nodes))
-        names = ["feature", "cut", "left", "right", "depth"]
-        kinds = [pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.float64()]
-        out = {"tree": pa.array([tree] * len(nodes), pa.int32()), "node": pa.array(range(len(nodes)), pa.int32())}
-        out.update({k: pa.array(c, t) for k, c, t in zip(names, cols, kinds)})
-        return pa.table(out)
-
-    forest = chosen.groupBy("tree").applyInArrow(
-        grow, "tree int, node int, feature int, cut double, left int, right int, depth double"
-    ).toPandas()
-    layout = [g.sort_values("node").drop(columns=["tree", "node"]) for _, g in forest.groupby("tree")]
-    packed = [tuple(g[c].to_numpy() for c in ("feature", "cut", "left", "right", "depth")) for g in layout]
-    scale = float(_average_path(np.array([size]))[0]) or 1.0
+        node, feature, cut, length = zip(*grow_tree(list_matrix(table.column("f")), seed, tree))
+        return pa.table({
+            "tree": pa.array([tree] * len(node), pa.int32()), "node": pa.array(node, pa.int32()), "feature": pa.array(feature, pa.int32()),
+            "cut": pa.array(cut, pa.float64()), "length": pa.array(length, pa.int64())})
+
+    forest = tree_samples(points, trees, size, n, seed).groupBy("tree").applyInArrow(
+        grow, "tree int, node int, feature int, cut double, length bigint").toPandas()
+    packed = []
+    for _, tree in forest.groupby("tree"):
+        slots = int(tree["node"].max()) + 1
+        feature, cut, length = np.full(slots, -1), np.zeros(slots), np.zeros(slots, dtype=np.int64)
+        at = tree["node"].to_numpy()
+        feature[at], cut[at], length[at] = tree["feature"], tree["cut"], tree["length"]
+        packed.append((feature, cut, length))
+    scale = (float(_average_path(np.array([size]))[0]) or 1.0) * LENGTH_UNITS
 
     def score(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             x = list_matrix(batch.column("f"))
-            rows, total = np.arange(len(x)), np.zeros(len(x))
-            for feature, cut, left, right, depth in packed:
-                at = np.zeros(len(x), dtype=np.int64)
+            rows, total = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
+            for feature, cut, length in packed:
+                at = np.ones(len(x), dtype=np.int64)
                 while True:
                     j = feature[at]
                     inner = j >= 0
                     if not inner.any():
                         break
-                    goes_left = x[rows, np.maximum(j, 0)] <= cut[at]
-                    at = np.where(inner, np.where(goes_left, left[at], right[at]), at)
-                total += depth[at]
-            severity = np.exp2(-total / len(packed) / scale)
+                    goes_right = x[rows, np.maximum(j, 0)] > cut[at]
+                    at = np.where(inner, 2 * at + goes_right, at)
+                total += length[at]
+            severity = np.exp2(-(total / len(packed)) / scale)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(severity)], ["id", "severity"])
 
     return points.select("id", "f").mapInArrow(score, "id bigint, severity double")

@@ -894,12 +894,48 @@ def cluster_summary(spark, folder):
     return anomaly.cluster_summary(_marked(spark, folder)[0])
 
 
-@query()
+def forest_sql(source: str, share: float, trees: int = anomaly.FOREST_TREES, rows: int = anomaly.TREE_ROWS) -> str:
+    """The forest replayed: all rows walk down all trees, level by level; the sampled ones make the cuts."""
+    factors = anomaly.tree_multipliers(trees)
+    a, b = ([f[i] for f in factors] for i in (0, 1))
+    part = lambda at: f"CAST('0x' || substr(md5('42|' || id), {at}, 7) AS BIGINT)"
+    mean = lambda n: (
+        f"CASE WHEN {n} > 2 THEN 2.0 * (ln({n} - 1.0) + {anomaly.EULER_GAMMA}) - 2.0 * ({n} - 1.0) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END")
+    return f"""p AS MATERIALIZED ({source}), size AS MATERIALIZED (SELECT least(count(*), {rows}) AS size FROM p),
+  h AS (SELECT id, x0, x1, {part(1)} AS a, {part(8)} AS b FROM p),
+  t AS (SELECT unnest(range({trees})) AS tree, unnest({a}) AS fa, unnest({b}) AS fb),
+  d AS (SELECT tree, id, x0, x1, row_number() OVER (PARTITION BY tree ORDER BY (a * fa + b * fb) % {anomaly.DRAW_PRIME}, id) AS r FROM h, t),
+  walk AS (SELECT tree, id, x0, x1, r <= size AS s, CAST(1 AS BIGINT) AS node, 0 AS depth, CAST(NULL AS BIGINT) AS length FROM d, size
+    UNION ALL SELECT tree, id, x0, x1, s,
+      CASE WHEN leaf THEN node WHEN CASE j WHEN 0 THEN x0 ELSE x1 END <= CASE WHEN cut >= top THEN bottom ELSE cut END THEN 2 * node ELSE 2 * node + 1 END,
+      depth + 1, CASE WHEN leaf THEN CAST(round((depth + {mean('n')}) * {anomaly.LENGTH_UNITS}) AS BIGINT) END
+    FROM (SELECT *, CASE j WHEN 0 THEN l0 ELSE l1 END AS bottom, CASE j WHEN 0 THEN h0 ELSE h1 END AS top,
+        CASE j WHEN 0 THEN l0 + {u_sql("'42'", 'tree', 'node', "'cut'")} * (h0 - l0) ELSE l1 + {u_sql("'42'", 'tree', 'node', "'cut'")} * (h1 - l1) END AS cut
+      FROM (SELECT *, CASE WHEN h0 > l0 AND h1 > l1 THEN CAST(floor(2 * {u_sql("'42'", 'tree', 'node', "'feature'")}) AS INT)
+          WHEN h0 > l0 THEN 0 ELSE 1 END AS j, depth >= ceil(log2(greatest(size, 2))) OR (h0 <= l0 AND h1 <= l1) AS leaf
+        FROM (SELECT *, count(*) FILTER (s) OVER w AS n, min(x0) FILTER (s) OVER w AS l0, max(x0) FILTER (s) OVER w AS h0,
+            min(x1) FILTER (s) OVER w AS l1, max(x1) FILTER (s) OVER w AS h1
+          FROM walk WHERE length IS NULL WINDOW w AS (PARTITION BY tree, node)), size))),
+  forest AS (SELECT id, pow(2, -(sum(length) / {trees}.0) / (({mean('any_value(size)')}) * {anomaly.LENGTH_UNITS})) AS severity
+    FROM walk, size WHERE length IS NOT NULL GROUP BY id),
+  fl AS (SELECT id, severity, -severity < (SELECT quantile_cont(-severity, {share}) FROM forest) AS outlier FROM forest)"""
+
+
+@query(f"WITH RECURSIVE {forest_sql(PART, 0.1)} SELECT id, {rd('severity', 'severity', 6)}, outlier FROM fl")
 def iforest(spark, folder):
     out = anomaly.detect_outliers(part_points(spark, folder), "iforest", 0.1)
     return out.withColumn("severity", r4(F.col("severity"), 6))
 
 
+@query(f"""WITH RECURSIVE {forest_sql(CUSTOMER, 0.05)}
+SELECT c_custkey AS id, CAST(c_nationkey AS INT) AS original, CAST(CASE WHEN outlier THEN -1 ELSE c_nationkey END AS INT) AS cluster
+FROM customer JOIN fl ON fl.id = c_custkey""")
+def mark_outliers_by_forest(spark, folder):
+    labels = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("int").alias("cluster"))
+    marked = anomaly.cluster_with_anomalies(labels, customer_points(spark, folder), method="iforest", contamination=0.05)[0]
+    return marked.select("id", "original", "cluster")
+
+
 # --- run history -----------------------------------------------------------------------
 
 @query(f"SELECT id, k, backend, epsilon, {rd('sil', 'silhouette', 6)}, (SELECT max(id) + 1 FROM ({RUNS})) AS next_id FROM ({RUNS})")

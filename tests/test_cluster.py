@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +128,26 @@ def test_forest_ranks_far_rows_first_whatever_the_partitions(spark):
     assert 25 <= flagged <= 31
 
 
+def test_forest_of_equal_few_and_hot_rows(spark):
+    assert [r["severity"] for r in anomaly.iforest(frame(spark, [[1.0, 2.0]])).collect()] == [1.0]
+    same = {r["severity"] for r in anomaly.iforest(frame(spark, np.ones((40, 2)))).collect()}
+    assert len(same) == 1 and same.pop() == pytest.approx(0.5)
+    x = np.concatenate([np.zeros((400, 2)), np.random.default_rng(3).normal(size=(400, 2))])
+    scores = {r["id"]: r["severity"] for r in anomaly.iforest(frame(spark, x)).collect()}
+    assert len({scores[i] for i in range(400)}) == 1 and scores[0] < min(scores[i] for i in range(400, 800))
+
+
+def test_tree_samples_are_the_smallest_draws(spark):
+    points = frame(spark, np.arange(5000.0)[:, None])
+    drawn = anomaly.tree_samples(points, 3, 64, 5000, 7).groupBy("tree").agg(F.collect_set("id").alias("ids")).collect()
+    for row in drawn:
+        a, b = anomaly.tree_multipliers(3)[row["tree"]]
+        digest = [hashlib.md5(f"7|{i}".encode()).hexdigest() for i in range(5000)]
+        draw = [(int(d[:7], 16) * a + int(d[7:14], 16) * b) % anomaly.DRAW_PRIME for d in digest]
+        assert set(row["ids"]) == set(sorted(range(5000), key=lambda i: (draw[i], i))[:64])
+    assert len(drawn) == 3
+
+
 def test_anomaly_switch_and_distribution(blobs):
     labels = blobs.select("id", F.when(F.col("owner") == "a", 0).when(F.col("owner") == "b", 1).otherwise(2).alias("cluster"))
     same, info = anomaly.cluster_with_anomalies(labels, blobs, enable=False)
