@@ -23,7 +23,7 @@ NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The table, empty where nothing was written yet; anything else that can't be read is an error."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*[part.split(" ")[0] for part in schema.split(", ")])
     except AnalysisException as absent:
         if absent.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -54,7 +54,7 @@ def next_run_id(runs: DataFrame) -> int:
 
 
 def add_run(path: str, config: dict, metrics: DataFrame, labels: DataFrame, data_hash: str, notes: str = "") -> int:
-    """Append one run and its rows (id, cluster, y); single writer per history folder."""
+    """Append one run and its rows (id, cluster, y), and delete the files of runs no longer kept; single writer per history folder."""
     spark = labels.sparkSession
     run_id = next_run_id(_read(spark, f"{path}/runs", RUN_SCHEMA))
     facts = labels.agg(
@@ -67,15 +67,28 @@ def add_run(path: str, config: dict, metrics: DataFrame, labels: DataFrame, data
     order = [c.split(" ")[0] for c in ("id", "ts", "config", "metrics", "data_hash", "notes", "n_samples", "n_clusters")]
     run = spark.createDataFrame(entry, shape).withColumn("ts", F.current_timestamp()).select(*order)
     rows = labels.select(F.lit(run_id).cast("bigint").alias("run_id"), "id", "cluster", F.col("y"))
-    rows.write.mode("append").parquet(f"{path}/rows")
-    run.write.mode("append").parquet(f"{path}/runs")
+    rows.write.mode("append").partitionBy("run_id").parquet(f"{path}/rows")
+    run.write.mode("append").partitionBy("id").parquet(f"{path}/runs")
+    _delete_dropped(spark, path, run_id)
     return run_id
 
 
+def _delete_dropped(spark: SparkSession, path: str, newest: int) -> None:
+    """Deletes the folders of runs too old to be kept; a run's own folder goes last, so a broken delete is taken up again."""
+    java = spark._jvm.org.apache.hadoop.fs
+    root = java.Path(f"{path}/runs")
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [entry.getPath().getName() for entry in files.listStatus(root)]
+    for run_id in sorted(int(name[len("id="):]) for name in found if name.startswith("id=")):
+        if run_id <= newest - KEPT_RUNS:
+            files.delete(java.Path(f"{path}/rows/run_id={run_id}"), True)
+            files.delete(java.Path(f"{path}/runs/id={run_id}"), True)
+
+
 def clear_history(spark: SparkSession, path: str) -> None:
     """Empty history; the next run is number 0 again."""
-    spark.createDataFrame([], RUN_SCHEMA).write.mode("overwrite").parquet(f"{path}/runs")
-    spark.createDataFrame([], ROW_SCHEMA).write.mode("overwrite").parquet(f"{path}/rows")
+    spark.createDataFrame([], RUN_SCHEMA).write.mode("overwrite").partitionBy("id").parquet(f"{path}/runs")
+    spark.createDataFrame([], ROW_SCHEMA).write.mode("overwrite").partitionBy("run_id").parquet(f"{path}/rows")
 
 
 def get_run(runs: DataFrame, run_id: int) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eigenpool.functions.bands import label_name
 from eigenpool.functions.uniform import laplace, secret_seed
 from eigenpool.functions.vectors import sq_norm
 from eigenpool.operators.joins import join_groups
@@ -78,21 +79,30 @@ def value_columns(df: DataFrame, column: str, prefix: str, n: int) -> DataFrame:
     return df.select(*[c for c in df.columns if c != column], *cells)
 
 
-def tween_frames(y: DataFrame, frames: int = 20, seed="42", column: str = "y") -> DataFrame:
-    """(frame, id, x, y): eased path from a hashed N(0,1)*2 start to the first two coordinates."""
+def display_table(df: DataFrame, column: str, prefix: str, n: int, label: str = "cluster") -> DataFrame:
+    """`value_columns` with the label as its display name in `Cluster`; rows without a label have none."""
+    return value_columns(df.withColumn(label, label_name(F.col(label))).withColumnRenamed(label, "Cluster"), column, prefix, n)
+
+
+def tween_frames(y: DataFrame, frames: int = 20, seed="42", column: str = "y", label: str | None = None) -> DataFrame:
+    """(frame, id, x, y): eased path from a hashed N(0,1)*2 start to the first two coordinates.
+
+    With a label, every row also holds it as text in `Cluster`.
+    """
     from eigenpool.functions.uniform import normal
 
     share = F.col("frame") / F.lit(float(max(frames - 1, 1)))
     ease = F.lit(0.5) * (F.lit(1.0) - F.cos(F.lit(3.141592653589793) * share))
+    shown = [F.col(label).cast("string").alias("Cluster")] if label else []
     start = y.select(
-        "id", F.col(column)[0].alias("x1"), F.col(column)[1].alias("y1"),
+        "id", *shown, F.col(column)[0].alias("x1"), F.col(column)[1].alias("y1"),
         (normal(seed, F.col("id"), 0) * 2).alias("x0"), (normal(seed, F.col("id"), 1) * 2).alias("y0"),
     )
     moves = start.select("*", F.explode(F.sequence(F.lit(0), F.lit(frames - 1))).alias("frame")).withColumn("e", ease)
     return moves.select(
         "frame", "id",
         ((1 - F.col("e")) * F.col("x0") + F.col("e") * F.col("x1")).alias("x"),
-        ((1 - F.col("e")) * F.col("y0") + F.col("e") * F.col("y1")).alias("y"),
+        ((1 - F.col("e")) * F.col("y0") + F.col("e") * F.col("y1")).alias("y"), *(["Cluster"] if label else []),
     )
 
 

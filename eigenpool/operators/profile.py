@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eigenpool.functions.bands import hopkins_band
@@ -319,6 +319,49 @@ def profile(points: DataFrame, seed=None, block_rows: int | None = None) -> Prof
     )
 
 
+def profile_record(found: Profile) -> DataFrame:
+    """(section, item, value, text): the whole profile as one table, a row for each number or message.
+
+    Items of features, pairs and components carry their numbers, `r_0_1` say; listed outliers are their place and id.
+    Nothing is collected: sections are small tables of their own, joined end to end.
+    """
+
+    def part(rows: DataFrame, section: str, cells: dict[str, Column | str], suffix: tuple[str, ...] = (), text: dict[str, str] | None = None) -> DataFrame:
+        words = text or {}
+        items = [
+            F.struct(
+                F.concat_ws("_", F.lit(name), *[F.col(c).cast("string") for c in suffix]).alias("item"),
+                (F.col(cell) if isinstance(cell, str) else cell).cast("double").alias("value"),
+                (F.col(words[name]) if name in words else F.lit(None).cast("string")).alias("text"))
+            for name, cell in cells.items()
+        ]
+        return rows.select(F.lit(section).alias("section"), F.inline(F.array(*items)))
+
+    def named(*names: str) -> dict[str, str]:
+        return {n: n for n in names}
+
+    sections = [
+        part(found.basic_stats.where("feature = 0"), "basic", named("n_samples", "n_features", "has_missing")),
+        part(found.basic_stats, "basic", named("mean", "std", "min", "max"), ("feature",)),
+        part(found.variance_ratio, "basic", named("variance_ratio")),
+        part(found.hopkins, "tendency", named("hopkins"), text={"hopkins": "interpretation"}),
+        part(found.outliers, "outliers", named("zscore_count", "iqr_count", "combined_count", "outlier_percentage")),
+        part(found.correlations, "correlation", {"r": "r"}, ("i", "j")),
+        part(found.high_correlations, "high_correlation", {"r": "r"}, ("i", "j")),
+        part(found.density, "density", named("avg_neighbor_distance", "density_variation"), text={"density_variation": "density_interpretation"}),
+        part(found.suggested_sigma, "density", named("suggested_sigma")),
+    ]
+    first = Window.orderBy("id")  # over the few listed rows
+    for method in ("zscore", "iqr", "combined"):
+        listed = listed_outliers(found.outlier_flags, method).withColumn("place", F.row_number().over(first) - 1)
+        sections.append(part(listed, "outliers", {method: "id"}, ("place",)))
+    if found.pca is not None:
+        sections.append(part(found.pca, "components", named("ratio", "running"), ("component",)))
+        sections.append(part(found.pca.where("component = 0"), "components", named("n_components")))
+    advice = found.recommendations.select(F.lit("advice").alias("section"), F.col("kind").alias("item"), F.lit(None).cast("double").alias("value"), F.col("message").alias("text"))
+    return reduce(DataFrame.unionByName, [*sections, advice])
+
+
 def value_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """(bin, low, high, n) over equal-width bins from the least to the greatest value; empty bins stay."""
     ends = df.agg(F.min(column).cast("double").alias("a"), F.max(column).cast("double").alias("b")).first()

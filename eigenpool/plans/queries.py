@@ -262,6 +262,24 @@ def feature_columns(spark, folder):
     return matrix.value_columns(part_points(spark, folder), "f", "Feature", 2)
 
 
+@query("SELECT c_custkey AS id, c_mktsegment AS owner, CASE WHEN c_nationkey = 0 THEN 'Outlier' ELSE CAST(c_nationkey - 1 AS VARCHAR) END AS \"Cluster\", "
+       "c_acctbal AS \"Feature_0\", CAST(c_nationkey AS DOUBLE) AS \"Feature_1\" FROM customer")
+def display_features(spark, folder):
+    labelled = customer_points(spark, folder).withColumn("cluster", F.col("f")[1].cast("int") - 1)
+    return matrix.display_table(labelled, "f", "Feature", 2)
+
+
+@query("WITH n AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS f, label FROM embeddings), "
+       "l AS (SELECT *, sqrt(list_sum(list_transform(f, lambda v: v * v))) AS len FROM n) "
+       "SELECT id, CASE WHEN label = 0 THEN 'Outlier' ELSE CAST(label - 1 AS VARCHAR) END AS \"Cluster\", "
+       + ", ".join(rd(f"f[{i + 1}] / len", f'"Eigen_{i}"') for i in range(3)) + " FROM l")
+def display_embedding(spark, folder):
+    """The first coordinates of normalized rows, as an embedding is shown."""
+    y = vector_points(spark, folder).select("id", (F.col("cluster") - 1).alias("cluster"), F.col("f").alias("y"))
+    shown = matrix.display_table(matrix.row_normalize(y), "y", "Eigen", 3)
+    return shown.withColumns({f"Eigen_{i}": r4(F.col(f"Eigen_{i}")) for i in range(3)})
+
+
 TWEEN = f"""
 SELECT frame, id, (1 - e) * x0 + e * x1 AS x, (1 - e) * y0 + e * y1 AS y FROM (
   SELECT *, 0.5 * (1 - cos(pi() * frame / 19.0)) AS e FROM (
@@ -276,6 +294,12 @@ def tween_frames(spark, folder):
     return frames.select("frame", "id", r4(F.col("x")).alias("x"), r4(F.col("y")).alias("y"))
 
 
+@query(f"SELECT frame, id, {rd('x', 'x')}, {rd('y', 'y')}, CAST(label AS VARCHAR) AS \"Cluster\" FROM ({TWEEN}) JOIN embeddings ON vec_id = id")
+def tween_frames_by_cluster(spark, folder):
+    frames = matrix.tween_frames(vector_points(spark, folder), column="f", label="cluster")
+    return frames.select("frame", "id", r4(F.col("x")).alias("x"), r4(F.col("y")).alias("y"), "Cluster")
+
+
 @query(f"SELECT {rd('min(x) - 1', 'x_from')}, {rd('max(x) + 1', 'x_to')}, {rd('min(y) - 1', 'y_from')}, {rd('max(y) + 1', 'y_to')} FROM ({TWEEN})")
 def tween_ranges(spark, folder):
     ranges = matrix.axis_ranges(matrix.tween_frames(vector_points(spark, folder), column="f"))
@@ -709,21 +733,23 @@ def suggested_sigma(spark, folder):
     return out.select(r4(F.col("suggested_sigma")).alias("suggested_sigma"))
 
 
-@query("""
-WITH f AS (SELECT user_id, avg(value) / max(value) * 3 AS h, 100.0 * count(*) FILTER (value > 120) / count(*) AS o,
-    count(*) FILTER (value > 200) AS c, stddev_pop(value) AS s, count(*) AS n FROM events GROUP BY user_id)
-SELECT user_id, kind, message FROM (
-  SELECT user_id, CASE WHEN h > 0.7 THEN 'success' WHEN h < 0.5 THEN 'warning' END AS kind,
+ADVICE = """WITH facts AS ({facts})
+SELECT * FROM (
+  SELECT {key}, CASE WHEN h > 0.7 THEN 'success' WHEN h < 0.5 THEN 'warning' END AS kind,
     CASE WHEN h > 0.7 THEN 'Data shows strong natural clustering tendency. Spectral clustering should work well!'
-      ELSE 'Low cluster tendency detected. Consider if clustering is appropriate for this data.' END AS message FROM f
-  UNION ALL SELECT user_id, CASE WHEN o > 10 THEN 'warning' WHEN o > 5 THEN 'info' END,
+      ELSE 'Low cluster tendency detected. Consider if clustering is appropriate for this data.' END AS message FROM facts
+  UNION ALL SELECT {key}, CASE WHEN o > 10 THEN 'warning' WHEN o > 5 THEN 'info' END,
     CASE WHEN o > 10 THEN 'High outlier rate (' || printf('%.1f', o) || '%). Consider enabling Anomaly-Aware mode.'
-      ELSE printf('%.1f', o) || '% outliers detected. Results may be affected.' END FROM f
-  UNION ALL SELECT user_id, CASE WHEN c > 0 THEN 'info' END, c || ' highly correlated feature pair(s) found. Consider PCA preprocessing.' FROM f
-  UNION ALL SELECT user_id, 'tip', 'Suggested Gaussian sigma based on data density: ' || printf('%.2f', s) FROM f
-  UNION ALL SELECT user_id, CASE WHEN n < 30 THEN 'warning' WHEN n > 500 THEN 'info' END,
+      ELSE printf('%.1f', o) || '% outliers detected. Results may be affected.' END FROM facts
+  UNION ALL SELECT {key}, CASE WHEN c > 0 THEN 'info' END, c || ' highly correlated feature pair(s) found. Consider PCA preprocessing.' FROM facts
+  UNION ALL SELECT {key}, 'tip', 'Suggested Gaussian sigma based on data density: ' || printf('%.2f', s) FROM facts
+  UNION ALL SELECT {key}, CASE WHEN n < 30 THEN 'warning' WHEN n > 500 THEN 'info' END,
     CASE WHEN n < 30 THEN 'Small sample size. Clustering results may be unstable.'
-      ELSE 'Large dataset. Computation may take longer with real HE backend.' END FROM f) WHERE kind IS NOT NULL""")
+      ELSE 'Large dataset. Computation may take longer with real HE backend.' END FROM facts) WHERE kind IS NOT NULL"""
+
+
+@query(ADVICE.format(key="user_id", facts="""SELECT user_id, avg(value) / max(value) * 3 AS h, 100.0 * count(*) FILTER (value > 120) / count(*) AS o,
+    count(*) FILTER (value > 200) AS c, stddev_pop(value) AS s, count(*) AS n FROM events GROUP BY user_id"""))
 def recommendations(spark, folder):
     value = F.col("value")
     facts = table(spark, folder, "events").groupBy("user_id").agg(
@@ -747,6 +773,51 @@ def profile_all(spark, folder):
     )
 
 
+def record_sql(source: str) -> str:
+    """The whole profile of a source with two features, section by section."""
+    none = "CAST(NULL AS VARCHAR)"
+    row = lambda section, item, value, text=none: f"SELECT '{section}' AS section, {item} AS item, round(CAST({value} AS DOUBLE), 4) + 0.0 AS value, {text} AS text"
+    moments = {"mean": "avg", "std": "stddev_pop", "min": "min", "max": "max"}
+    count = {"zscore_count": "count(*) FILTER (zscore)", "iqr_count": "count(*) FILTER (iqr)", "combined_count": "count(*) FILTER (zscore OR iqr)",
+             "outlier_percentage": "100.0 * count(*) FILTER (zscore OR iqr) / count(*)"}
+    listed = {"zscore": "zscore", "iqr": "iqr", "combined": "zscore OR iqr"}
+    variation = "stddev_pop(kd) / (avg(kd) + 1e-10)"
+    ratios = "(SELECT 0 AS c, l0 / (l0 + l1) AS ratio, l0 / (l0 + l1) AS running FROM e UNION ALL SELECT 1, l1 / (l0 + l1), 1.0 FROM e)"
+    parts = [
+        *(row("basic", f"'{n}'", v) + " FROM p" for n, v in (("n_samples", "count(*)"), ("n_features", "max(2)"), ("has_missing", "max(0)"))),
+        *(row("basic", f"'{n}_{i}'", f"{fn}(x{i})") + " FROM p" for n, fn in moments.items() for i in (0, 1)),
+        row("basic", "'variance_ratio'", "var_pop(v) / (avg(abs(v)) + 1e-10)") + " FROM (SELECT unnest([x0, x1]) AS v FROM p)",
+        row("tendency", "'hopkins'", "hopkins", """CASE WHEN hopkins > 0.75 THEN 'Strong cluster tendency - data has clear structure'
+  WHEN hopkins > 0.5 THEN 'Moderate cluster tendency - some structure present' ELSE 'Low cluster tendency - data may be uniform/random' END""")
+        + " FROM (SELECT u / (u + w + 1e-10) AS hopkins FROM h)",
+        *(row("outliers", f"'{n}'", v) + " FROM f" for n, v in count.items()),
+        *(row("outliers", f"'{n}_' || k", "id") + f" FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS k FROM f WHERE {v}) WHERE k < 20" for n, v in listed.items()),
+        *(row("correlation", f"'r_{i}_{j}'", "max(1)" if i == j else "corr(x0, x1)") + " FROM p" for i in (0, 1) for j in (0, 1)),
+        row("high_correlation", "'r_0_1'", "corr(x0, x1)") + " FROM p HAVING abs(corr(x0, x1)) > 0.8",
+        row("density", "'avg_neighbor_distance'", "avg(kd)") + " FROM near", row("density", "'density_variation'", variation,
+            f"CASE WHEN {variation} > 1 THEN 'High variation' ELSE 'Uniform density' END") + " FROM near",
+        row("density", "'suggested_sigma'", "v") + " FROM sigma",
+        *(row("components", f"'{n}_' || c", n) + f" FROM {ratios}" for n in ("ratio", "running")),
+        row("components", "'n_components'", "coalesce(min(c) + 1, 1)") + f" FROM {ratios} WHERE running >= 0.95",
+    ]
+    facts = f"""SELECT (SELECT u / (u + w + 1e-10) FROM h) AS h, (SELECT {count['outlier_percentage']} FROM f) AS o,
+      (SELECT count(*) FILTER (abs(r) > 0.8) FROM (SELECT corr(x0, x1) AS r FROM p)) AS c, (SELECT v FROM sigma) AS s, (SELECT count(*) FROM p) AS n"""
+    return f"""WITH {HOPKINS}, f AS (WITH {flags_sql(source, ['x0', 'x1'])} SELECT * FROM f),
+  k AS (SELECT a.id, sqrt({D2}) AS d, row_number() OVER (PARTITION BY a.id ORDER BY {D2}, b.id) AS r FROM p a, p b),
+  near AS (SELECT id, d AS kd FROM k WHERE r = 5), head AS (SELECT * FROM p ORDER BY id LIMIT 100),
+  sigma AS (SELECT quantile_cont(sqrt({D2}), 0.5) AS v FROM head a JOIN head b ON a.id < b.id),
+  v AS (SELECT var_pop(x0) AS a, var_pop(x1) AS b, covar_pop(x0, x1) AS c FROM p),
+  e AS (SELECT (a + b) / 2 + sqrt(((a - b) / 2) ** 2 + c * c) AS l0, (a + b) / 2 - sqrt(((a - b) / 2) ** 2 + c * c) AS l1 FROM v)
+{" UNION ALL ".join(f"({part})" for part in parts)}
+UNION ALL SELECT 'advice', kind, CAST(NULL AS DOUBLE), message FROM ({ADVICE.format(facts=facts, key="1 AS one")})"""
+
+
+@query(record_sql(CUSTOMER))
+def profile_record(spark, folder):
+    found = profile.profile(customer_points(spark, folder), seed="11")
+    return profile.profile_record(found).withColumn("value", r4(F.col("value")))
+
+
 def _histogram_sql(source: str, column: str, bins: int) -> str:
     return f"""WITH v AS (SELECT CAST({column} AS DOUBLE) AS v FROM {source}),
   e AS (SELECT min(v) AS a, (max(v) - min(v)) / {bins} AS s FROM v),

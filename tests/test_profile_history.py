@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +104,10 @@ def test_rows_go_with_their_runs(spark, log):
         add(0.5, k=2)
     kept = {r["run_id"] for r in history.read_run_rows(spark, path).select("run_id").distinct().collect()}
     assert kept == set(range(2, history.KEPT_RUNS + 2))
+    for table, column in (("runs", "id"), ("rows", "run_id")):
+        folders = {name for name in os.listdir(f"{path}/{table}") if "=" in name}
+        assert folders == {f"{column}={i}" for i in kept}
+    assert add(0.5, k=2) == history.KEPT_RUNS + 2
 
 
 def test_missing_cells_are_no_outliers(spark):
@@ -112,6 +118,23 @@ def test_missing_cells_are_no_outliers(spark):
     assert [r["b"][:3] for r in cells.collect()] == ["Low", "Str"]
 
 
+def test_record_holds_every_part_of_a_profile(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(60, 3))
+    x[:, 2] = 2 * x[:, 0]
+    x[7] = [40.0, 0.0, 80.0]
+    found = profile.profile(frame(spark, x), seed="1")
+    rows = {(r["section"], r["item"]): r for r in profile.profile_record(found).collect()}
+    assert rows["basic", "n_samples"]["value"] == 60 and rows["basic", "has_missing"]["value"] == 0
+    assert rows["basic", "mean_1"]["value"] == pytest.approx(x[:, 1].mean())
+    assert rows["high_correlation", "r_0_2"]["value"] == pytest.approx(1) and ("high_correlation", "r_0_1") not in rows
+    assert rows["outliers", "zscore_0"]["value"] == 7 and rows["density", "density_variation"]["text"] in ("High variation", "Uniform density")
+    assert rows["components", "n_components"]["value"] == 1 and rows["advice", "tip"]["text"].startswith("Suggested")
+    assert sum(s == "correlation" for s, _ in rows) == 9
+    narrow = profile.profile_record(profile.profile(frame(spark, x[:, :1]), seed="1")).groupBy("section").count().collect()
+    assert {r["section"] for r in narrow} == {"basic", "tendency", "outliers", "density", "advice"}
+
+
 def test_only_twenty_runs_are_kept(spark):
     runs = spark.range(30).select("id", (F.col("id") % 2).alias("log"))
     assert sorted(r["id"] for r in history.kept_runs(runs).collect()) == list(range(10, 30))
