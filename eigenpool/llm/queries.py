@@ -11,7 +11,6 @@ from eigenpool.llm import (
     divergence, fill_middle, langid, licenses, minmax, mixing, packing, periodic_runs, secret_scan, simhash, surrogates, token_counts, toxicity,
 )
 from eigenpool.llm.common import documents, table
-from eigenpool.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,7 +121,7 @@ select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_a
 from docs d left join found f on f.doc_id is not distinct from d.doc_id and f.t = d.t
 """)
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan(documents(spark, sf_dir), scratch_path(spark, "blob-ledger"))
+    found = secret_scan.scan(documents(spark, sf_dir), secret_scan.ledger_path(spark))
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secret_scan.BASE]))
     counts = [F.size(F.filter("spans", _of(r.kind))).cast("long").alias(f"n_{r.kind}") for r in secret_scan.BASE]
     return found.select("doc_id", *counts, F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))

@@ -3,7 +3,8 @@
 Every version of a document is addressed by the SHA-256 of its text. The ledger, a Parquet table,
 holds for each blob the rules it was scanned with, each with its version, and the spans found. Only
 pairs of blob and rule version that the ledger lacks are scanned, each blob once however many
-paths share it, and the findings are joined back to all paths.
+paths share it, and the findings are joined back to all paths. `ledger_path` is the ledger of a
+session: where `spark.eigenpool.secrets.ledger` names one, it lasts from run to run.
 """
 
 from __future__ import annotations
@@ -11,11 +12,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eigenpool.session import cut_lineage
+from eigenpool.session import cut_lineage, scratch_path
 
+LEDGER_SETTING = "spark.eigenpool.secrets.ledger"
 LEDGER = "blob string, rules array<string>, spans array<struct<rule: string, start: bigint, stop: bigint>>"
 
 
@@ -67,6 +69,11 @@ MORE = (
 RULES = BASE + MORE
 
 
+def ledger_path(spark: SparkSession) -> str:
+    """The folder that LEDGER_SETTING names; a new one beside the other written tables where it is unset."""
+    return spark.conf.get(LEDGER_SETTING, None) or scratch_path(spark, "blob-ledger")
+
+
 def read_ledger(spark, path: str) -> DataFrame | None:
     """(blob, rules, spans), one row a blob; None where nothing was written yet."""
     try:
@@ -92,7 +99,10 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> D
     versions = versions.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     address = F.sha2(F.col("text"), 256)
     paths = cut_lineage(versions.select("doc_id", address.alias("blob")), "paths")
-    blobs = paths.groupBy("blob").agg(F.min("doc_id").alias("first_id"))
+    # the path whose text is scanned, and how many rows it has
+    counted = paths.groupBy("blob", "doc_id").agg(F.count("*").alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rows")).alias("first")
+    blobs = counted.groupBy("blob").agg(first).select("blob", F.col("first.doc_id").alias("first_id"), "first.rows")
     known = read_ledger(spark, ledger)
     wanted = F.array(*map(F.lit, names))
     if known is None:
@@ -101,14 +111,20 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> D
         lacking = F.array_except(wanted, F.coalesce("rules", F.array().cast("array<string>")))
         todo = blobs.join(known.select("blob", "rules"), "blob", "left").withColumn("todo", lacking).where(F.size("todo") > 0).drop("rules")
     # One row of each blob is scanned; a blob whose ids are all null is found by its address.
-    todo = cut_lineage(todo.select("blob", "todo", F.coalesce(F.col("first_id").cast("string"), "blob").alias("key")), "unseen")
+    todo = cut_lineage(todo.select("blob", "todo", "rows", F.coalesce(F.col("first_id").cast("string"), "blob").alias("key")), "unseen")
+    repeated = todo.where("rows > 1").limit(1).count()
+    todo = todo.drop("rows")
     keyed = versions.select(F.coalesce(F.col("doc_id").cast("string"), address).alias("key"), "text")
-    unseen = keyed.join(todo, "key").where(address == F.col("blob"))
+    if repeated:
+        # rows equal in path and text become one inside the map tasks already, so a text with very many rows is no hot key
+        unseen = keyed.withColumn("blob", address).dropDuplicates(["key", "blob"]).join(todo, ["key", "blob"])
+    else:
+        unseen = keyed.join(todo, "key").where(address == F.col("blob"))
     found = F.flatten(F.array(*(
         F.when(F.array_contains("todo", r.name), r.spans(F.col("text"))).otherwise(F.array().cast("array<struct<rule: string, start: bigint, stop: bigint>>"))
         for r in rules)))
     scanned = unseen.select("blob", F.col("todo").alias("rules"), found.alias("spans"))
-    scanned.dropDuplicates(["blob"]).write.mode("append").parquet(ledger)
+    scanned.write.mode("append").parquet(ledger)
     order = F.create_map(*(F.lit(x) for i, n in enumerate(names) for x in (n, i)))
     hits = read_ledger(spark, ledger).where(F.size("spans") > 0).select("blob", F.explode("spans").alias("s")).where(F.col("s.rule").isin(names))
     hits = hits.select("blob", F.struct(F.col("s.start").alias("start"), order[F.col("s.rule")].alias("place"), F.split("s.rule", "@")[0].alias("kind"), F.col("s.stop").alias("stop")).alias("s"))
@@ -124,10 +140,12 @@ def listed(spans: Column) -> Column:
 
 
 def masked(docs: DataFrame, ledger: str, mask: str = "[secret]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of docs with every span of their text replaced by the mask; columns and rows stay."""
-    found = scan(docs, ledger, rules).where(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"])
-    rows = docs.withColumn("_address", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-    rows = rows.join(found, F.col("_address") == F.col("_blob"), "left")
+    """The rows of docs with every span of their text replaced by the mask; columns and rows stay, whatever the columns' names."""
+    free = "_" * (1 + max(map(len, docs.columns)))  # longer than any column, so the names below are new
+    address, blob, spans = free + "address", free + "blob", free + "spans"
+    found = scan(docs, ledger, rules).where(F.size("spans") > 0).select(F.col("blob").alias(blob), F.col("spans").alias(spans)).dropDuplicates([blob])
+    rows = docs.withColumn(address, F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    rows = rows.join(found, F.col(address) == F.col(blob), "left")
 
     def add(state: Column, s: Column) -> Column:
         # spans of several kinds may overlap: what lies before `at` is gone already
@@ -135,7 +153,7 @@ def masked(docs: DataFrame, ledger: str, mask: str = "[secret]", rules: tuple[Ru
         inside = s["start"] < state["at"]
         return F.struct(F.greatest(state["at"], s["stop"]).alias("at"), F.when(inside, state["out"]).otherwise(fresh).alias("out"))
 
-    walked = F.aggregate("_spans", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), add,
+    walked = F.aggregate(spans, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), add,
                          lambda s: F.concat(s["out"], F.substr(F.col("text"), (s["at"] + 1).cast("int"))))
-    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(walked)
-    return rows.select(*((clean.alias(c) if c == "text" else F.col(c)) for c in docs.columns))
+    clean = F.when(F.col(spans).isNull(), F.col("text")).otherwise(walked)
+    return rows.select(*((clean.alias(c) if c == "text" else F.col(f"`{c}`")) for c in docs.columns))

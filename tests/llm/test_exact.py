@@ -334,6 +334,40 @@ def test_secrets_and_ledger(spark):
     assert len(fresh) == n and all(r["rules"] == ["hex@2"] for r in fresh)
 
 
+def test_repeated_rows_are_scanned_once(spark):
+    texts = ["a token=abcdefgh12"] * 60 + ["b token=abcdefgh34"] * 30 + SECRETS + [None, ""]
+    ids = [7] * 40 + [None] * 20 + [None] * 30 + list(range(100, 102 + len(SECRETS)))
+    ledger = scratch_path(spark, "ledger")
+    got = secret_scan.scan(frame(spark, texts, ids=ids).repartition(5), ledger).collect()
+    assert sorted((r["doc_id"] or -1, [tuple(s) for s in r["spans"]]) for r in got) == sorted((i or -1, brute_spans(t or "")) for i, t in zip(ids, texts))
+    rows = spark.read.parquet(ledger)
+    assert rows.count() == rows.select("blob").distinct().count() == len({t or "" for t in texts})
+
+
+def test_ledger_of_the_session_lasts(spark):
+    docs = frame(spark, SECRETS)
+    assert secret_scan.ledger_path(spark) != secret_scan.ledger_path(spark)
+    spark.conf.set(secret_scan.LEDGER_SETTING, scratch_path(spark, "lasting"))
+    try:
+        ledger = secret_scan.ledger_path(spark)
+        for _ in range(2):
+            got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in secret_scan.scan(docs, secret_scan.ledger_path(spark)).collect()}
+            assert got == {i: brute_spans(t or "") for i, t in enumerate(SECRETS)}
+            assert spark.read.parquet(ledger).count() == len({t or "" for t in SECRETS})
+        text = "x " * 200_000 + "token=abcdefgh12"
+        assert [tuple(s) for s in secret_scan.scan(frame(spark, [text]), ledger).first()["spans"]] == brute_spans(text)
+    finally:
+        spark.conf.unset(secret_scan.LEDGER_SETTING)
+
+
+def test_masked_keeps_columns_of_any_name(spark):
+    docs = frame(spark, SECRETS).selectExpr("doc_id", "text", "'a' AS _address", "'b' AS _blob", "'c' AS _spans", "'d' AS `x.y`")
+    got = secret_scan.masked(docs, scratch_path(spark, "ledger"))
+    plain = secret_scan.masked(frame(spark, SECRETS), scratch_path(spark, "ledger")).collect()
+    assert got.columns == docs.columns
+    assert {(r["doc_id"], r["text"], r["_address"], r["_blob"], r["_spans"], r["x.y"]) for r in got.collect()} == {(r["doc_id"], r["text"], "a", "b", "c", "d") for r in plain}
+
+
 def test_masked_keeps_all_else(spark):
     got = {r["doc_id"]: r["text"] for r in secret_scan.masked(frame(spark, SECRETS), scratch_path(spark, "ledger")).collect()}
     for i, text in enumerate(SECRETS):
