@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eigenpool.llm import langid, minmax, mixing, packing, secret_scan
 from eigenpool.llm.common import documents
-from eigenpool.session import cut_lineage, scratch_path
+from eigenpool.session import cut_lineage
 
 COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
 
@@ -59,7 +59,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks all secrets; every document stays, `n_chars` follows the text."""
-    clean = secret_scan.masked(_columns(docs), scratch_path(spark, "blob-ledger"))
+    clean = secret_scan.masked(_columns(docs), secret_scan.ledger_path(spark))
     return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
 
 
