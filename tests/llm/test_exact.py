@@ -193,6 +193,30 @@ def test_licenses(spark):
     assert (span["first"], span["last"]) == (1, len(mit) + 1) and span["covered"] == 1
 
 
+def test_license_expressions_denials_and_clauses(spark):
+    warranty, bsd = licenses.TEMPLATES[17][1], licenses.TEMPLATES[18][1]
+    texts = {
+        "SPDX-License-Identifier: MPL-2.0 AND (Apache-2.0 OR MIT)": "apache-2.0,mit,mpl-2.0", "// SPDX-License-Identifier: ISC": "isc",
+        "This is not released under the MIT license.": "", "It isn't licensed under the Apache License, Version 2.0": "",
+        "Not for sale. Released under the MIT license.": "mit", "use Apache-2.0 or BSD-3-Clause here": "apache-2.0,bsd-3-clause", "apache 2 0 or bsd": "",
+        warranty: "mit", "a " + bsd.replace("source code", "source-code files"): "bsd", "MIT and ISC": ""}
+    got = {r["doc_id"]: r for r in licenses.scan(frame(spark, list(texts)))[0].collect()}
+    assert {t: got[i]["labels"] for i, t in enumerate(texts)} == texts
+    assert got[7]["score"] == 1 and got[2]["score"] == got[3]["score"] == 0
+
+
+def test_license_spans_keep_to_their_template(spark):
+    notice = "permission is hereby granted to all of you"
+    words = notice.split()
+    chained = " ".join(w for i in range(len(words) - 2) for w in [*words[i:i + 3], "x"])  # every k-gram, on diagonals that are near each other
+    docs, spans = licenses.scan(frame(spark, [chained, "so " + notice + " and more", chained + " " + notice, "y " * 50_000 + notice]), [("p", notice)], {})
+    labels = {r["doc_id"]: r["labels"] for r in docs.collect()}
+    assert labels[1] == labels[2] == labels[3] == "p" and labels[0] == ""
+    rows = {r["row"]: r["doc_id"] for r in docs.collect()}
+    at = {rows[s["row"]]: (s["first"], s["last"]) for s in spans.collect()}
+    assert at[1] == (1, 8) and at[3] == (50_000, 50_007) and at[2][1] == len((chained + " " + notice).split()) - 1
+
+
 # 5
 
 def spark_hash(words):
