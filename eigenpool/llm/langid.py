@@ -9,7 +9,8 @@ the text is flagged as ambiguous.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -216,45 +217,38 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(decode, "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
-def accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows whose text has a language, unchanged; `und` goes. Ambiguous texts stay."""
+def trusted(docs: DataFrame) -> frozenset[str]:
+    """The languages that nearly all held-out texts taken for them are told to be, by a model of the other texts.
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array([model.predict(t)[0] != UNKNOWN for t in batch["text"].to_pylist()], pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
-
-
-def tells_own(docs: DataFrame) -> bool:
-    """Whether nearly all held-out texts with a language are told by a model of the other ones.
-
-    A quarter of the rows (doc_id, text, lang), by a hash of the id, is held out. With fewer than two
-    languages nothing can be told.
+    A quarter of the rows (doc_id, text, lang) with a language, by a hash of the id, is held out. A language is trusted if at
+    most HELD_OUT_LOST of the held-out texts nearest to it aren't told, and there are some. With fewer than two
+    languages nothing can be told, and none is.
     """
     rows = docs.where("text is not null and lang is not null").select("doc_id", "text", "lang")
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
     model = fit(rows.where(~held_out))
     if len(model.languages) < 2:
-        return False
+        return frozenset()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = lost = 0
+        n, lost = Counter(), Counter()
         for batch in batches:
             for text in filter(has_letter, batch["text"].to_pylist()):
-                n += 1
-                lost += not model.told(text)[1]
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([lost], pa.int64())], names=["n", "lost"])
+                language, told = model.told(text)
+                n[language] += 1
+                lost[language] += not told
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([lost[x] for x in n], pa.int64())], names=["lang", "n", "lost"])
 
-    found = rows.where(held_out).select("text").mapInArrow(count, "n long, lost long").agg(F.sum("n").alias("n"), F.sum("lost").alias("lost")).first()
-    return bool(found["n"]) and found["lost"] <= HELD_OUT_LOST * found["n"]
+    sums = rows.where(held_out).select("text").mapInArrow(count, "lang string, n long, lost long").groupBy("lang").agg(F.sum("n").alias("n"), F.sum("lost").alias("lost"))
+    return frozenset(r["lang"] for r in sums.collect() if r["lost"] <= HELD_OUT_LOST * r["n"])
 
 
-def decided(docs: DataFrame, model: Model, strict: bool) -> DataFrame:
+def decided(docs: DataFrame, model: Model, sure: Collection[str]) -> DataFrame:
     """The rows whose text has a language, which is written where `lang` is null; other columns stay.
 
-    If `strict`, texts whose language isn't told go; otherwise only those without a letter, and where
-    the language isn't told, a null `lang` stays null.
+    Texts without a letter go. A text whose language isn't told goes if the nearest language is one of the
+    `sure` ones; else it stays, and a null `lang` stays null.
     """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +257,7 @@ def decided(docs: DataFrame, model: Model, strict: bool) -> DataFrame:
             named = [own if own is not None or not told else language for own, (language, told) in zip(batch["lang"].to_pylist(), found, strict=True)]
             at = batch.schema.get_field_index("lang")
             columns = [pa.array(named, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
-            kept = [told if strict else language != UNKNOWN for language, told in found]
+            kept = [language != UNKNOWN and (told or language not in sure) for language, told in found]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -46,8 +46,8 @@ def test_texts_without_letters(spark, languages):
     odd = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate([None, "", " 12 \n#$", "é", "the " * 200_000])], DOCS)
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(odd, model).collect()}
     assert [got[i] for i in range(3)] == [("und", 0.0)] * 3 and got[3][0] != "und" and got[4][0] == "en"
-    kept = [r["doc_id"] for r in langid.accepted(odd, model).collect()]
-    assert sorted(kept) == [3, 4] and langid.accepted(odd, model).columns == odd.columns
+    kept = [r["doc_id"] for r in langid.decided(odd, model, ()).collect()]
+    assert sorted(kept) == [3, 4] and langid.decided(odd, model, ()).columns == odd.columns
 
 
 def test_one_and_no_language(spark, languages):

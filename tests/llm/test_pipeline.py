@@ -57,13 +57,31 @@ def test_language_stage_uses_the_decision(spark):
            (1_002, "12 #", "en", "s", 5), (1_003, None, None, "s", None)]
     blank = [(2_000 + i, " ".join(rng.choices(WORDS[lang], k=40)), None, "s", 5) for i, lang in enumerate(("de", "en", "es", "fr"))]
     docs = spark.createDataFrame(rows + odd + blank, DOCS)
-    assert langid.tells_own(docs)
+    assert langid.trusted(docs) == {"de", "en", "es", "fr"}
     got = {r["doc_id"]: tuple(r) for r in corpus_pipeline.identify(spark, docs, "unused").collect()}
     assert set(got) == {r[0] for r in rows + blank}
     assert all(got[r[0]] == r for r in rows)
     assert [got[2_000 + i] for i in range(4)] == [(i, t, lang, s, n) for (i, t, _, s, n), lang in zip(blank, ("de", "en", "es", "fr"))]
 
 
+def test_language_stage_judges_each_language_on_its_own(spark):
+    rng, rows = random.Random(4), []
+    for lang in ("de", "en", "es"):
+        for _ in range(60):
+            rows.append((len(rows), " ".join(rng.choices(WORDS[lang], k=rng.randrange(15, 60))), lang, "s", 5))
+    start = len(rows)
+    for _ in range(60):  # one vocabulary under two names: neither can be told from the other
+        rows.append((len(rows), " ".join(rng.choices(WORDS["fr"], k=30)), rng.choice(["fr", "fr-x"]), "s", 5))
+    odd = (1_001, "12 #", "en", "s", 5)
+    docs = spark.createDataFrame([*rows, odd], DOCS)
+    sure = langid.trusted(docs)
+    assert {"de", "en", "es"} <= sure and not sure >= {"fr", "fr-x"}
+    got = {r["doc_id"] for r in corpus_pipeline.identify(spark, docs, "unused").collect()}
+    assert got >= set(range(start)) and 1_001 not in got
+    told = langid.fit(docs)
+    assert got >= {r[0] for r in rows[start:] if told.told(r[1])[0] not in sure}
+
+
 def test_near_duplicate_stage(stages):
     before, after = stages[1], stages[2]
     rows = sorted(before, key=lambda r: (r["doc_id"] is None, r["doc_id"]))
