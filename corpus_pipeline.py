@@ -29,13 +29,13 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language, and writes the language found where `lang` is null.
 
     Null texts and texts without a letter go, and so do texts whose decoding is ambiguous or whose best codeword
-    loses more than `langid.LOSS_LIMIT`. If more than a hundredth of the held-out texts that have a language would go
-    that way, decoding can't tell and only the letterless ones go. Where fewer than two languages can be learned,
-    there is nothing to tell apart: all documents stay as they are.
+    loses more than `langid.LOSS_LIMIT`. A language near which more than a hundredth of the held-out texts would go
+    that way can't be told, and takes no text with it; each language is judged on its own. Where fewer than two
+    languages can be learned, there is nothing to tell apart: all documents stay as they are.
     """
     docs = _columns(docs)
     model = langid.fit(docs)
-    return langid.decided(docs, model, langid.tells_own(docs)) if len(model.languages) > 1 else docs
+    return langid.decided(docs, model, langid.trusted(docs)) if len(model.languages) > 1 else docs
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
