@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from eigenpool.operators import anomaly, matrix, pairs, profile, quality
+from eigenpool.operators import anomaly, boxes, eigen, matrix, pairs, profile, quality
 from eigenpool.operators.eigen import top_eigen
 from eigenpool.operators.tiles import build_blocks, fold_copies, tile_plan
 from helpers import distances, frame, with_copies
@@ -151,3 +151,39 @@ def test_degrees_invert_the_normalisation(spark):
     assert found["all_close"] and found["identical"] and found["frobenius"] < 1e-10
     short = pairs.compare_tables(table, back.where("i < 4"), ["i", "j"], "w").first()
     assert not short["all_close"] and not short["identical"]
+
+
+def boxed(n, d, seed):
+    x = np.random.default_rng(seed).normal(size=(n, d))
+    x[: n // 4] = x[0]
+    x[-1] = 7.0
+    return x
+
+
+@pytest.mark.parametrize("n, d", [(700, 1), (900, 2)])
+def test_sums_by_boxes(spark, monkeypatch, n, d):
+    """Affinity sums of narrow rows never pair rows, and are those of all pairs."""
+    monkeypatch.setattr(boxes, "MOST_SENT", 500)
+    monkeypatch.setattr(boxes, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(pairs, "run_tiles", None)
+    monkeypatch.setattr(eigen, "build_blocks", None)
+    x = boxed(n, d, 5)
+    copies = fold_copies(frame(spark, x).repartition(4))
+    gids = np.array(sorted(r["gid"] for r in copies.groups.collect()))
+    w = np.exp(-distances(x) ** 2 / 2)
+    degree = w.sum(1)
+    m = w / np.sqrt(np.outer(degree, degree))
+    got = np.array(pairs.affinity_summary(copies, 1.0).orderBy("gid").select("degree", "squares").collect())
+    assert np.allclose(got, np.stack([degree, (w * w).sum(1)], axis=1)[gids], rtol=1e-13, atol=0)
+    got = np.array(pairs.normalized_summary(copies, 1.0).orderBy("gid").select("degree", "diagonal", "total", "squares").collect())
+    assert np.allclose(got, np.stack([degree, 1 / degree, m.sum(1), (m * m).sum(1)], axis=1)[gids], rtol=1e-12, atol=0)
+    solved = eigen.top_eigen(copies, 1.0, 4)
+    assert solved.values == pytest.approx(list(np.linalg.eigvalsh(m)[::-1][:4]), abs=1e-10)
+    y = np.array([r["y"] for r in solved.vectors.orderBy("gid").collect()])
+    full = y[np.searchsorted(gids, [gids[np.all(x[gids] == row, axis=1)][0] for row in x])]
+    assert np.abs(m @ full - full * solved.values).max() < 1e-7
+
+
+def test_scattered_rows_are_left_to_tiles(spark):
+    copies = fold_copies(frame(spark, np.random.default_rng(1).normal(size=(300, 2)) * 1000))
+    assert boxes.lay_out_boxes(copies, 1.0, 10.0, ["m"]) is None
