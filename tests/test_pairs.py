@@ -2,8 +2,9 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from eigenpool.operators import anomaly, boxes, eigen, matrix, pairs, profile, quality
+from eigenpool.operators import anomaly, boxes, eigen, matrix, pairs, profile, quality, tiles
 from eigenpool.operators.eigen import top_eigen
 from eigenpool.operators.tiles import build_blocks, fold_copies, tile_plan
 from helpers import distances, frame, with_copies
@@ -187,3 +188,15 @@ def test_sums_by_boxes(spark, monkeypatch, n, d):
 def test_scattered_rows_are_left_to_tiles(spark):
     copies = fold_copies(frame(spark, np.random.default_rng(1).normal(size=(300, 2)) * 1000))
     assert boxes.lay_out_boxes(copies, 1.0, 10.0, ["m"]) is None
+
+
+def test_rows_are_sent_a_bounded_number_of_times(spark, monkeypatch):
+    """Many blocks share few cells: neither rows nor partial sums grow with the number of blocks."""
+    monkeypatch.setattr(tiles, "STRIPS", 4)
+    x = np.random.default_rng(8).normal(size=(600, 30))
+    laid = build_blocks(frame(spark, x).select(F.col("id").alias("gid"), "f"), len(x), block_rows=20)
+    assert laid.count >= 30
+    tile = lambda a, b, same: {"gid": np.concatenate([a["gid"]] + [b["gid"]] * (not same)), "n": np.ones(len(a) + len(b) * (not same), int)}
+    sums = tiles.run_tiles(laid, tile, "gid bigint, n bigint", total={"n": "sum"})
+    got = {r["gid"]: (r["lines"], r["tiles"]) for r in sums.groupBy("gid").agg(F.count("n").alias("lines"), F.sum("n").alias("tiles")).collect()}
+    assert len(got) == len(x) and all(lines <= 4 and n == laid.count for lines, n in got.values())
