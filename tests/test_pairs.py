@@ -200,3 +200,13 @@ def test_rows_are_sent_a_bounded_number_of_times(spark, monkeypatch):
     sums = tiles.run_tiles(laid, tile, "gid bigint, n bigint", total={"n": "sum"})
     got = {r["gid"]: (r["lines"], r["tiles"]) for r in sums.groupBy("gid").agg(F.count("n").alias("lines"), F.sum("n").alias("tiles")).collect()}
     assert len(got) == len(x) and all(lines <= 4 and n == laid.count for lines, n in got.values())
+
+
+def test_missing_features_are_left_to_tiles(spark, monkeypatch):
+    monkeypatch.setattr(boxes, "MOST_SENT", 500)
+    points = frame(spark, np.random.default_rng(2).normal(size=(300, 2)))
+    assert boxes.lay_out_boxes(fold_copies(points), 1.0, 10.0, ["m"]) is not None
+    for hole in (None, float("nan")):
+        gap = F.when(F.col("id") == 5, F.lit(hole).cast("double")).otherwise(F.col("f")[1])
+        holed = points.withColumn("f", F.array(F.col("f")[0], gap))
+        assert boxes.lay_out_boxes(fold_copies(holed), 1.0, 10.0, ["m"]) is None
