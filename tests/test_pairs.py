@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eigenpool.operators import anomaly, boxes, eigen, matrix, pairs, profile, quality, tiles
+from eigenpool.operators import anomaly, boxes, distance_sums, eigen, matrix, pairs, profile, quality, tiles
 from eigenpool.operators.eigen import top_eigen
 from eigenpool.operators.tiles import build_blocks, fold_copies, tile_plan
 from helpers import distances, frame, with_copies
@@ -210,3 +210,25 @@ def test_missing_features_are_left_to_tiles(spark, monkeypatch):
         gap = F.when(F.col("id") == 5, F.lit(hole).cast("double")).otherwise(F.col("f")[1])
         holed = points.withColumn("f", F.array(F.col("f")[0], gap))
         assert boxes.lay_out_boxes(fold_copies(holed), 1.0, 10.0, ["m"]) is None
+
+
+@pytest.mark.parametrize("d", [1, 2, 3])
+def test_silhouettes_by_boxes(spark, monkeypatch, d):
+    monkeypatch.setattr(distance_sums, "MIN_ROWS", 100)
+    monkeypatch.setattr(distance_sums, "LEAF_ROWS", {1: 16, 2: 16, 3: 24})
+    monkeypatch.setattr(quality, "run_tiles", None)  # no rows are paired but those of neighbouring boxes
+    rng = np.random.default_rng(d)
+    x = rng.normal(size=(1500, d))
+    x[:300], x[300:600], x[600:620] = x[:300] * 1e-6 + 3, x[300:600] * 1e-3 + 1, x[0]
+    labels = np.where(np.arange(1500) < 300, "near", rng.integers(0, 3, 1500).astype(str)).astype(object)
+    labels[3] = "alone"
+    dist, want = distances(x), []
+    for i in range(len(x)):
+        own = labels == labels[i]
+        a = dist[i, own].sum() / max(own.sum() - 1, 1)
+        b = min(dist[i, labels == other].mean() for other in set(labels) - {labels[i]})
+        want.append((b - a) / max(a, b) if own.sum() > 1 and max(a, b) > 0 else 0.0)
+    points = frame(spark, x, owners=labels)
+    got = {r["id"]: r["silhouette"] for r in quality.silhouette_samples(points, "owner").collect()}
+    assert [got[i] for i in range(len(x))] == pytest.approx(want, abs=1e-6)
+    assert quality.mean_silhouette(points, "owner").first()[0] == pytest.approx(np.mean(want), abs=1e-6)
