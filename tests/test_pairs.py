@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eigenpool.operators import anomaly, boxes, distance_sums, eigen, matrix, pairs, profile, quality, tiles
+from eigenpool.operators import anomaly, boxes, distance_sums, eigen, entries, matrix, pairs, profile, quality, tiles
 from eigenpool.operators.eigen import top_eigen
 from eigenpool.operators.tiles import build_blocks, fold_copies, tile_plan
 from helpers import distances, frame, with_copies
@@ -232,3 +232,23 @@ def test_silhouettes_by_boxes(spark, monkeypatch, d):
     got = {r["id"]: r["silhouette"] for r in quality.silhouette_samples(points, "owner").collect()}
     assert [got[i] for i in range(len(x))] == pytest.approx(want, abs=1e-6)
     assert quality.mean_silhouette(points, "owner").first()[0] == pytest.approx(np.mean(want), abs=1e-6)
+
+
+@pytest.mark.parametrize("block_rows", BLOCKS)
+def test_entries_are_scaled_and_compared_in_tiles(spark, monkeypatch, block_rows):
+    copies = fold_copies(frame(spark, with_copies()))
+    w = pairs.affinity_entries(copies, 0.6, 0.05, block_rows)
+    table = pairs.affinity_entries(copies, 0.6, 0.05, block_rows).table.persist()
+    m = matrix.normalized_affinity(w, copies="mj")
+    want = {(r["i"], r["j"]): (r["w"], r["m"]) for r in matrix.normalized_affinity(table, copies="mj").collect()}
+    assert {(r["i"], r["j"]): r["m"] for r in m.collect()} == {at: pytest.approx(v[1]) for at, v in want.items()}
+    back = matrix.reconstruct_affinity(m.drop("w"), matrix.degree(w, copies="mj")).withColumnRenamed("w_back", "w")
+    assert {(r["i"], r["j"]): r["w"] for r in back.collect()} == {at: pytest.approx(v[0]) for at, v in want.items()}
+    monkeypatch.setattr(entries.TiledEntries, "table", None)  # neither listed nor joined
+    found = pairs.compare_tables(w, back, ["i", "j"], "w").first()
+    assert (found["n"], found["all_close"], found["identical"]) == (len(want), True, True)
+    other = pairs.compare_tables(w, m.drop("w").withColumnRenamed("m", "w"), ["i", "j"], "w").first()
+    gap = np.sqrt(sum((v[0] - v[1]) ** 2 for v in want.values()))
+    assert (other["n"], other["all_close"], other["frobenius"]) == (len(want), False, pytest.approx(gap))
+    degrees = {r["i"]: (r["degree"], r["n"]) for r in matrix.degree(w, copies="mj").collect()}
+    assert degrees == {r["i"]: (pytest.approx(r["degree"]), r["n"]) for r in matrix.degree(table, copies="mj").collect()}
