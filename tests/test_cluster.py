@@ -159,3 +159,11 @@ def test_anomaly_switch_and_distribution(blobs):
     assert set(spread) == {0, 1, 2} and sum(spread.values()) == row["n_outliers"]
     sizes = {r["name"]: r["size"] for r in anomaly.cluster_summary(marked).collect()}
     assert sum(sizes.values()) == 120 and sizes.get("outliers", 0) == row["n_outliers"]
+
+
+def test_landmark_mode_spreads_rows_of_few_files(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "SPREAD_ROWS", 100)
+    points = frame(spark, np.random.default_rng(0).normal(size=(1000, 2))).coalesce(1)
+    rows = cluster.nystrom_embedding(points, 3, 1.0, landmarks=32).rows
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 200
