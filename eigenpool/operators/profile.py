@@ -20,6 +20,7 @@ from eigenpool.operators.joins import first_per_group, join_groups
 from eigenpool.operators.pairs import knn_groups, pair_distances
 from eigenpool.operators.quantiles import exact_quantiles
 from eigenpool.operators.tiles import fold_copies, list_matrix, sq_distances
+from eigenpool.session import cut_lineage
 
 # Limits and sample sizes of the profile.
 Z_LIMIT, IQR_FACTOR, LISTED = 3.0, 1.5, 20
@@ -226,7 +227,7 @@ def _group_k_distances(points: DataFrame, block_rows: int | None) -> DataFrame:
 
 def suggested_sigma(points: DataFrame) -> DataFrame:
     """One row: median pair distance among the first 100 rows by id."""
-    head = points.orderBy("id").limit(SIGMA_ROWS)
+    head = cut_lineage(points.orderBy("id").limit(SIGMA_ROWS), "head")  # blocks read it several times
     gaps = pair_distances(head).select(F.sqrt("d2").alias("d"))
     return gaps.agg(F.percentile("d", F.lit(0.5)).alias("suggested_sigma"))
 
