@@ -228,7 +228,7 @@ def _group_k_distances(points: DataFrame, block_rows: int | None) -> DataFrame:
 def suggested_sigma(points: DataFrame) -> DataFrame:
     """One row: median pair distance among the first 100 rows by id."""
     head = cut_lineage(points.orderBy("id").limit(SIGMA_ROWS), "head")  # blocks read it several times
-    gaps = pair_distances(head).select(F.sqrt("d2").alias("d"))
+    gaps = pair_distances(head).where(F.col("d2").isNotNull()).select(F.sqrt("d2").alias("d"))
     return gaps.agg(F.percentile("d", F.lit(0.5)).alias("suggested_sigma"))
 
 

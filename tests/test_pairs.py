@@ -1,12 +1,15 @@
 """Pairwise operators against brute force, in one block and in many, with a third of the rows equal."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from eigenpool.functions.vectors import rounded, rounded_entry
 from eigenpool.operators import anomaly, boxes, distance_sums, eigen, entries, matrix, pairs, profile, quality, tiles
 from eigenpool.operators.eigen import top_eigen
 from eigenpool.operators.tiles import build_blocks, fold_copies, tile_plan
+from eigenpool.plans.queries import QUERIES, SQL
 from helpers import distances, frame, with_copies
 
 BLOCKS = [2048, 17]
@@ -41,6 +44,37 @@ def test_distances(case, block_rows):
         assert r["least"] == pytest.approx(row.min(), abs=1e-9)
 
 
+@pytest.mark.parametrize("block_rows", BLOCKS)
+def test_all_pairs(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(pairs, "PAIRS_AT_ONCE", 100)
+    x = with_copies(seed=1, n=60, d=30, hot=20)
+    ids = [7 if i in (3, 50) else None if i == 9 else i for i in range(60)]
+    cells = [(i, None if at == 4 else [float("nan"), *map(float, r[1:])] if at == 30 else list(map(float, r))) for at, (i, r) in enumerate(zip(ids, x))]
+    points = spark.createDataFrame(cells, "id bigint, f array<double>").repartition(4)
+    d2 = distances(x) ** 2
+    want = []
+    for a, i in enumerate(ids):
+        for b, j in enumerate(ids):
+            if i is not None and j is not None and i < j:
+                want.append((i, j, None if {a, b} & {4, 30} else pytest.approx(d2[a, b], abs=1e-9)))
+    got = [tuple(r) for r in pairs.pair_distances(points, block_rows=block_rows).collect()]
+    order = lambda r: (r[0], r[1], -1.0 if r[2] is None else r[2].expected if hasattr(r[2], "expected") else r[2])
+    assert sorted(got, key=order) == sorted(want, key=order)
+    near = pairs.pair_distances(points, 5.0, block_rows).collect()
+    assert len(near) == sum(r[2] is not None and r[2].expected <= 25.0 for r in want)
+
+
+def test_pair_query_lists_every_pair(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.normal(size=8)], i % 3) for i in range(40)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = sorted(con.sql(SQL["pair_sq_distance"]).fetchall())
+    got = sorted(tuple(r) for r in QUERIES["pair_sq_distance"](spark, str(tmp_path)).collect())
+    assert len(got) == 40 * 39 // 2 and got == want
+
+
 @pytest.mark.parametrize("block_rows", BLOCKS)
 @pytest.mark.parametrize("include_self", [True, False])
 def test_neighbours(case, block_rows, include_self):
@@ -252,3 +286,14 @@ def test_entries_are_scaled_and_compared_in_tiles(spark, monkeypatch, block_rows
     assert (other["n"], other["all_close"], other["frobenius"]) == (len(want), False, pytest.approx(gap))
     degrees = {r["i"]: (r["degree"], r["n"]) for r in matrix.degree(w, copies="mj").collect()}
     assert degrees == {r["i"]: (pytest.approx(r["degree"]), r["n"]) for r in matrix.degree(table, copies="mj").collect()}
+
+
+def test_entries_are_rounded_like_others(spark):
+    rng = np.random.default_rng(4)
+    halves = [(k + 0.5) / 10000 for k in range(-300, 300)]
+    near = [float(np.nextafter(h, side)) for h in halves for side in (-9, 9)]
+    wild = [0.0, -0.0, 0.00005, -0.00005, 1e-300, 123456.78905, 1e5 + 0.00005, 4e8, 1e15 + 0.3, 1e300, float("inf"), float("-inf"), float("nan"), None]
+    values = [*halves, *near, *wild, *map(float, rng.normal(size=2000)), *map(float, 1e4 * rng.normal(size=2000))]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    shown = rows.select("v", rounded("v").cast("string").alias("a"), rounded_entry(F.col("v")).cast("string").alias("b")).collect()
+    assert [(r["v"], r["b"]) for r in shown if r["a"] != r["b"]] == []
