@@ -297,3 +297,19 @@ def test_entries_are_rounded_like_others(spark):
     rows = spark.createDataFrame([(v,) for v in values], "v double")
     shown = rows.select("v", rounded("v").cast("string").alias("a"), rounded_entry(F.col("v")).cast("string").alias("b")).collect()
     assert [(r["v"], r["b"]) for r in shown if r["a"] != r["b"]] == []
+
+
+def test_tiles_leave_out_rows_beyond_reach():
+    x = np.random.default_rng(5).uniform(0, 4, (400, 2))
+    x[7, 1], x[300, 0] = np.nan, np.nan
+    one, two = (tiles.Side(x[at], {"gid": np.arange(400)[at], "m": np.ones(200, dtype=int)}) for at in (slice(0, 200), slice(200, 400)))
+    one.x[:, 0] /= 2
+    reach = 0.5
+    two.x[:, 0] = two.x[:, 0] / 2 + 2
+    a, b = entries.in_room(one, two, reach)
+    d2 = tiles.sq_distances(one.x, two.x)
+    want = {(i, j + 200) for i, j in zip(*np.nonzero(d2 <= reach ** 2))}
+    kept = tiles.sq_distances(a.x, b.x)
+    assert {(a["gid"][i], b["gid"][j]) for i, j in zip(*np.nonzero(kept <= reach ** 2))} == want
+    assert len(want) > 50 and len(a) < 100 and len(b) < 100
+    assert [len(s) for s in entries.in_room(one, tiles.Side(two.x[:0], {"gid": np.arange(0)}), reach)] == [0, 0]
