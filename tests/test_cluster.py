@@ -1,9 +1,11 @@
 import hashlib
+import os
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from eigenpool import session
 from eigenpool.functions.uniform import laplace, normal, uniform
 from eigenpool.functions.vectors import feature_array
 from eigenpool.operators import anomaly, matrix, quality
@@ -167,3 +169,13 @@ def test_landmark_mode_spreads_rows_of_few_files(spark, monkeypatch):
     rows = cluster.nystrom_embedding(points, 3, 1.0, landmarks=32).rows
     sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 1000 and max(sizes) <= 200
+
+
+def test_curve_keeps_no_files_but_the_embedding(spark, blobs, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    before = spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    curve = cluster.privacy_utility_curve(blobs, 3, 1.0, noise_seed="2", epsilons=(1.0, 10.0)).collect()
+    assert [r["epsilon"] for r in curve] == [1.0, 10.0] and curve[0]["silhouette"] < curve[1]["silhouette"]
+    left = {name.rpartition("-")[0] for name in os.listdir(tmp_path)}
+    assert left - {"layout"} == {"embedding"}  # tables of tiles, which few rows go by, stay
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == before

@@ -266,6 +266,15 @@ def test_silhouettes_by_boxes(spark, monkeypatch, d):
     got = {r["id"]: r["silhouette"] for r in quality.silhouette_samples(points, "owner").collect()}
     assert [got[i] for i in range(len(x))] == pytest.approx(want, abs=1e-6)
     assert quality.mean_silhouette(points, "owner").first()[0] == pytest.approx(np.mean(want), abs=1e-6)
+    monkeypatch.setattr(distance_sums, "leaves_per_call", lambda leaves, cores, box_bytes: 50)
+    again = {r["id"]: r["silhouette"] for r in quality.silhouette_samples(points, "owner").collect()}
+    assert [again[i] for i in range(len(x))] == pytest.approx([got[i] for i in range(len(x))], abs=1e-12)
+
+
+def test_calls_grow_with_the_boxes():
+    box = 8 * 10 ** 3 * 3
+    assert [distance_sums.leaves_per_call(n, 12, box) for n in (100, 3_600, 18_399, 10 ** 6)] == [16, 100, 511, 512]
+    assert distance_sums.leaves_per_call(10 ** 6, 12, 64 * box) == 16
 
 
 @pytest.mark.parametrize("block_rows", BLOCKS)
