@@ -17,9 +17,9 @@ from eigenpool.functions.bands import hopkins_band
 from eigenpool.functions.uniform import secret_seed, uniform
 from eigenpool.functions.vectors import width
 from eigenpool.operators.joins import first_per_group, join_groups
-from eigenpool.operators.pairs import knn_groups, pair_distances
+from eigenpool.operators.pairs import block_pairs, knn_groups
 from eigenpool.operators.quantiles import exact_quantiles
-from eigenpool.operators.tiles import fold_copies, list_matrix, sq_distances
+from eigenpool.operators.tiles import build_blocks, fold_copies, list_matrix, sq_distances
 from eigenpool.session import cut_lineage
 
 # Limits and sample sizes of the profile.
@@ -228,7 +228,7 @@ def _group_k_distances(points: DataFrame, block_rows: int | None) -> DataFrame:
 def suggested_sigma(points: DataFrame) -> DataFrame:
     """One row: median pair distance among the first 100 rows by id."""
     head = cut_lineage(points.orderBy("id").limit(SIGMA_ROWS), "head")  # blocks read it several times
-    gaps = pair_distances(head).where(F.col("d2").isNotNull()).select(F.sqrt("d2").alias("d"))
+    gaps = block_pairs(build_blocks(head.select("id", "f"), head.count(), key="id")).where(~F.isnan("d2")).select(F.sqrt("d2").alias("d"))
     return gaps.agg(F.percentile("d", F.lit(0.5)).alias("suggested_sigma"))
 
 
